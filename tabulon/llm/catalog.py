@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from tabulon.llm.packing import op10_packing
 from tabulon.llm.simhash import op5_simhash
+from tabulon.llm.substring_dedup import op2_substring_dedup
 from tabulon.llm.token_counts import op1_token_counts
 from tabulon.llm.token_store import op4_token_files
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op4_token_files, op5_simhash, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_token_files, op5_simhash, op10_packing)}
 ORACLE: dict[str, str] = {}
