@@ -91,7 +91,7 @@ def bucket_column(column: str, n: int):
 
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block."""
-    head = "|".join(f"{a.dtype.str},{a.size}" for a in arrays).encode()
+    head = ";".join(f"{a.dtype.str},{a.size}" for a in arrays).encode()
     return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
@@ -99,7 +99,7 @@ def unpack(block: bytes) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(block)
     n = int.from_bytes(raw[:4], "little")
     at, out = 4 + n, []
-    for part in raw[4:at].decode().split("|"):
+    for part in raw[4:at].decode().split(";"):
         kind, size = part.split(",")
         out.append(np.frombuffer(raw, kind, int(size), at))
         at += out[-1].nbytes

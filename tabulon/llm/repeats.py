@@ -182,7 +182,7 @@ BLOCKS = "bucket int, kind int, block binary"
 ANCHORS, SETTLED, OPEN, COMPARED, TEXT = range(5)
 
 
-def settle(windows: Windows, key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def settle(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For rows sorted by (key, context, doc, pos): which have an equal context before them, and which are the first of theirs."""
     new = runs(key, context)
     same = ~runs(key, context, doc, pos)  # the same place twice, from two slices
@@ -198,7 +198,7 @@ def map_anchors(windows: Windows, n: int):
             held.clear()
             order = np.lexsort((pos, doc, c, h))
             doc, pos, h, c = doc[order], pos[order], h[order], c[order]
-            repeat, first = settle(windows, h, c, doc, pos)
+            repeat, first = settle(h, c, doc, pos)
             yield blocks(SETTLED, bucket_of(doc[repeat], n), doc[repeat], pos[repeat])
             yield blocks(ANCHORS, (h[first] >> np.uint64(8)).astype(np.int64) % n, h[first], c[first], doc[first], pos[first])
 
@@ -247,11 +247,11 @@ def resolve_anchors(windows: Windows, n: int, index):
     return run
 
 
-def judge(windows: Windows, key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def judge(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For rows of any order: the order by (key, context, doc, pos), and in it the repeats and the rows that stay open."""
     order = np.lexsort((pos, doc, context, key))
     key, context, doc, pos = key[order], context[order], doc[order], pos[order]
-    repeat, first = settle(windows, key, context, doc, pos)
+    repeat, first = settle(key, context, doc, pos)
     group = np.cumsum(runs(key)) - 1
     several = np.bincount(group, weights=first) > 1 if len(group) else np.zeros(0, bool)
     return order, repeat, first & several[group]
