@@ -43,12 +43,14 @@ def write(docs: DataFrame, file: str, path: str, end: int | None = 0, id_column:
 
     Null ids come first and null texts have no ids of their own; rows of the
     same id are all kept, in the order of their texts. The dictionary is
-    trained on at most SAMPLE_ROWS texts of up to SAMPLE_CHARS characters, the
-    first by a hash of id and text; nothing else depends on the sample.
+    trained on at most SAMPLE_ROWS texts, the first by a hash of the id and no
+    longer than SAMPLE_CHARS; nothing else depends on the sample.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    sample = rows.filter(F.length("text") <= SAMPLE_CHARS).orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_ROWS).collect()
+    by = F.xxhash64("doc_id")
+    least = [r[0] for r in rows.select(by.alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()]
+    sample = rows.filter((by <= max(least, default=0)) & (F.length("text") <= SAMPLE_CHARS)).limit(SAMPLE_ROWS).collect()
     dictionary = train([r["text"] for r in sample], file)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "hash string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
@@ -57,7 +59,7 @@ def write(docs: DataFrame, file: str, path: str, end: int | None = 0, id_column:
         e = encoder(file)
         last = b"" if end is None else np.array([end], e.dtype).tobytes()
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        compress = zstandard.ZstdCompressor(level=3, dict_data=shared, write_content_size=True, write_dict_id=False).compress
+        compress = zstandard.ZstdCompressor(level=1, dict_data=shared, write_content_size=True, write_dict_id=False).compress
         part = TaskContext.get().partitionId()
         seq = start = held = 0
         ids: list[int] = []
