@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tabulon.llm.decontaminate import OP3_SQL, op3_decontaminate
 from tabulon.llm.packing import op10_packing
 from tabulon.llm.simhash import op5_simhash
 from tabulon.llm.substring_dedup import op2_substring_dedup
@@ -9,5 +10,5 @@ from tabulon.llm.suffix_dedup import op8_suffix_dedup
 from tabulon.llm.token_counts import op1_token_counts
 from tabulon.llm.token_store import op4_token_files
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op4_token_files, op5_simhash, op8_suffix_dedup, op10_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_token_files, op5_simhash, op8_suffix_dedup, op10_packing)}
+ORACLE: dict[str, str] = {"op3_decontaminate": OP3_SQL}
