@@ -1,8 +1,112 @@
-"""A training-data pipeline over `documents`."""
+"""A training-data pipeline over `documents`: five stages, each by one operator.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read back as the next stage's docs. All but the last return the
+columns of `documents`; texts that a stage changes have their n_chars renewed.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabulon.llm import common
+from tabulon.llm.decontaminate import contaminated, contamination
+from tabulon.llm.language_id import NONE, identify, learn
+from tabulon.llm.packing import pieces
+from tabulon.llm.simhash import near_duplicates
+from tabulon.llm.suffix_dedup import suffix_dedup
+
+
+def ready(docs: DataFrame) -> DataFrame:
+    """docs once the last stage's scratch is gone: its result has been written elsewhere by now."""
+    common.release(docs.sparkSession)
+    return docs
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null text, no letters) go.
+
+    Languages are learned from the bounded sample of labelled rows that the operator documents.
+    """
+    docs = ready(docs)
+    return identify(docs, learn(docs), beside=("_language", "_score")).filter(F.col("_language") != NONE).select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the least doc_id stays, and of repeated rows one.
+
+    Groups are named by ids: documents without one go.
+    """
+    docs = ready(docs)
+    first = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    return kept.dropDuplicates(["doc_id", "text"]) if common.repeated(docs, "doc_id") else kept
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes that repeat earlier text go from each document.
+
+    A character of which only a part is covered stays whole; documents of which nothing is left go.
+    """
+    docs = ready(docs)
+    changed = suffix_dedup(docs, with_text=True).filter("n_removed > 0").select(F.col("doc_id").alias("_doc"), F.col("sub").alias("_sub"), F.col("spans").alias("_spans"))
+    rows = common.keyed(docs, "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
+    joined = rows.join(changed, rows.doc_id.eqNullSafe(changed["_doc"]) & (rows["sub"] == changed["_sub"]), "left")
+    same = F.col("_spans").isNull()
+    rest = F.udf(without, "string", useArrow=True)
+    joined = joined.withColumn("text", F.when(same, F.col("text")).otherwise(rest("text", "_spans"))).filter(F.length("text") > 0)
+    return joined.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(docs.columns)
+
+
+def without(text: str | None, spans: list | None) -> str | None:
+    """text without ranges of its UTF-8 bytes, each narrowed to whole characters."""
+    if text is None or spans is None:
+        return text
+    raw = text.encode()
+    inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+    out, at = [], 0
+    for s in spans:
+        first, last = s["first"], s["last"]
+        while inside(first):
+            first += 1
+        while last > first and inside(last):
+            last -= 1
+        out.append(raw[at:first])
+        at = max(last, first)
+    return (b"".join(out) + raw[at:]).decode()
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the contamination rule holds for go."""
+    docs = ready(docs)
+    bad = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter(contaminated()).select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What is left, packed into sequences of at most 4096 ids."""
+    import public_tokenizers
+
+    return pieces(ready(docs), public_tokenizers.path("word_bpe_49k.json"), ids=False)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("suffix_array_dedup", suffix_array_dedup), ("benchmark_decontamination", benchmark_decontamination), ("packing", packing)]
+#: No SQL can express these stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = None
+    for name, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            path = f"{common.shared_dir(spark)}/pipeline-{common.uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+            if kept:
+                common.delete(spark, kept)
+            kept = path
+    return docs

@@ -43,13 +43,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    with contextlib.suppress(Exception):
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what scratch() gave out so far; only for callers that have written their results elsewhere."""
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
     while _scratch:
-        path = fs_path(_scratch.pop())
-        with contextlib.suppress(Exception):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, _scratch.pop())
+
+
+def repeated(df: DataFrame, key: str) -> bool:
+    """Whether some value of the key (null is one) is in several rows."""
+    return df.groupBy(key).count().filter("count > 1").limit(1).count() > 0
 
 
 def keyed(docs: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
@@ -58,7 +66,7 @@ def keyed(docs: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
     The numbering costs a shuffle only where some doc_id repeats.
     """
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), *columns)
-    if slim.groupBy("doc_id").count().filter("count > 1").limit(1).count() == 0:
+    if not repeated(slim, "doc_id"):
         return slim.select("doc_id", F.lit(0).alias("sub"), *columns)
     order = Window.partitionBy("doc_id").orderBy(*columns)
     return slim.select("doc_id", (F.row_number().over(order) - 1).cast("int").alias("sub"), *columns)

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 #: Bounds of the labelled sample, for each language: rows, and characters in all.
 SAMPLE_ROWS, SAMPLE_CHARS = 300, 120_000
@@ -141,8 +142,8 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     return tuple((k, f" {' '.join(v)} "[:chars]) for k, v in sorted(out.items()))
 
 
-def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) of each row's whole text.
+def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: str = "doc_id", text_column: str = "text", beside: tuple[str, str] | None = None) -> DataFrame:
+    """(doc_id, lang_pred, score) of each row's whole text; with `beside`, all columns of docs and the two of these names.
 
     `und` with score 0 for a null text, one without a letter, or if nothing was
     learned. The score is the runner-up's part of what the two best languages
@@ -153,9 +154,16 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = parser(samples)
         for batch in batches:
-            got = [p.predict(t.as_py()) for t in batch.column(1)]
+            got = [p.predict(t.as_py()) for t in batch.column(at)]
+            if beside:
+                mine = [pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *mine], names=[*batch.schema.names, *beside])
+                continue
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
+    at = docs.columns.index(text_column) if beside else 1
+    if beside:
+        return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(beside[0], StringType()), StructField(beside[1], DoubleType())]))
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
