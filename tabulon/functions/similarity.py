@@ -7,12 +7,13 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from tabulon import vocabulary as voc
 from tabulon.functions.text import bones, head, skeleton, text
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -32,7 +33,7 @@ def title_kind(page, titles: list[tuple[str, str]] | None = None, cutoff: float
     """Kind of the title most like a stretch of the page's head, by a window of the title's length; NULL below the cutoff, ties to the first."""
     wanted = [(k, bones(t)) for k, t in (titles if titles is not None else voc.TITLES)]
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def best(heads: pd.Series) -> pd.Series:
         def one(h: str | None) -> str | None:
             top, kind = 0.0, None

@@ -11,11 +11,12 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tabulon import vocabulary as voc
 from tabulon.functions.text import clean_label, text, to_number
 
-TOKENS = "array<struct<start: int, end: int, tok: string>>"
+TOKENS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("tok", StringType())]))
 _pattern = re.compile(voc.TOKEN)
 
 

@@ -40,7 +40,7 @@ def match(labels: DataFrame, alias: DataFrame, key: list[str], label: str = "lab
     lengths allow to reach the cutoff, and scores of the others are NULL.
     """
     book = small(dictionary(alias))
-    forms = labels.select(*key, F.col(label).alias("label"), F.posexplode(label_candidates(label, prefixes, section)).alias("place", "form"))
+    forms = labels.select(*key, F.posexplode(label_candidates(label, prefixes, section)).alias("place", "form"))
     forms = forms.withColumn("skeleton", skeleton("form")).withColumn("digits", digits("form")).filter("skeleton != ''")
     bound = book.select("skeleton", "digit_bound").distinct()
     forms = forms.join(bound, "skeleton", "left").withColumn("wanted", F.when(F.coalesce("digit_bound", F.lit(False)), F.col("digits")).otherwise(""))

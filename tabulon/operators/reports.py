@@ -11,7 +11,7 @@ from tabulon.functions.text import scaled
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str], total: str | None = "total", counted: str | None = None) -> DataFrame:
     """Counts of rows by columns, 0 where there are none, with a total of each row, the largest first. The values are given, so no job is needed to find them."""
-    what = F.count(counted) if counted else F.count("*")
+    what = F.count(counted if counted else F.lit(1))
     out = df.groupBy(rows).pivot(columns, values).agg(what).fillna(0, subset=values)
     if total is None:
         return out.orderBy(rows)
