@@ -34,7 +34,7 @@ CLASSES, MEMBERS = 64, 64  # the most frequent ids by 64; all others are one mor
 STEPS, BATCH = 300, 48
 DISCOUNT = 0.75  # taken from each counted word's count
 STEP = 1024  # log10 probabilities of spellings are kept in steps of 1/1024
-BLOCK_WORDS, GROUP = 1 << 21, 1 << 21
+BLOCK_WORDS, GROUP = 1 << 21, 1 << 20
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 F4 = np.float32
 
@@ -236,7 +236,7 @@ def trained(training: DataFrame, file: str) -> tuple:
 
 def spellings(e, words: list[str]) -> list[bytes]:
     """The subword ids of each word, as after a space."""
-    if len(e.new) >= 1 << 19:
+    if len(e.new) >= 3 << 17:
         e.old, e.new = e.new, {}
     got = list(map(e.new.get, words))
     if None in got:
