@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -90,6 +91,25 @@ def bucket_of(doc: np.ndarray, n: int) -> np.ndarray:
     return (xxh64_long(doc) >> np.uint64(1)).astype(np.int64) % n
 
 
+_held: dict = {}
+
+
+def held(key, make):
+    """make() once for a key in this process. A worker serves one operator after the other: what another key held goes first."""
+    if key not in _held:
+        if _held:
+            _held.clear()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Drop what held() keeps; for operators that hold nothing from task to task."""
+    held(None, lambda: None)
+
+
 NULL_ID = -(1 << 63)
 
 

@@ -17,6 +17,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from tabulon.llm.common import held
+
 CACHE, GROUP = 800_000, 1 << 21
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍ -  -⁠　﻿]")
 CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
@@ -167,10 +169,5 @@ class Encoder:
         yield from self.group(group)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(file: str) -> Encoder:
-    if file not in _encoders:
-        _encoders[file] = Encoder(file)
-    return _encoders[file]
+    return held(("encoder", file), lambda: Encoder(file))

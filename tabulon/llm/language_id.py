@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tabulon.llm.common import held
+
 #: Bounds of the labelled sample, for each language: rows, and characters in all.
-SAMPLE_ROWS, SAMPLE_CHARS = 300, 120_000
-CACHE = 500_000
+SAMPLE_ROWS, SAMPLE_CHARS = 300, 80_000
+CACHE = 400_000
 NONE = "und"
 
 
@@ -110,14 +112,8 @@ class Parser:
         return self.names[best], second / (second + float(total[best]))
 
 
-_parsers: dict[tuple, Parser] = {}
-
-
 def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    if samples not in _parsers:
-        _parsers.clear()
-        _parsers[samples] = Parser(samples)
-    return _parsers[samples]
+    return held(("parser", samples), lambda: Parser(samples))
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, ids_of, keyed, pack, partitions, stored, text_bytes, unpack
+from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, ids_of, keyed, let_go, pack, partitions, stored, text_bytes, unpack
 
 GROUP = 1 << 20
 FLUSH = 1 << 21
@@ -191,6 +191,7 @@ def settle(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarra
 
 def map_anchors(windows: Windows, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         held: list[tuple] = []
 
         def flush() -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import partitions, stored
+from tabulon.llm.common import let_go, partitions, stored
 from tabulon.llm.components import components
 
 SEGMENTS, BITS = 16, 64
@@ -46,6 +46,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", t
     """(doc_id, fp): each row's fingerprint as a signed long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])

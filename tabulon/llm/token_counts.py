@@ -12,6 +12,8 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tabulon.llm.common import held
+
 CACHE = 400_000
 
 
@@ -78,13 +80,8 @@ def vocabulary(model_file: str) -> tuple[list[str], list[str]]:
     return [x for x in pieces if x[0] == "▁" and "▁" not in x[1:]], [x for x in pieces if "▁" not in x]
 
 
-_counters: dict[str, tuple[PieceCounter, dict[str, int]]] = {}
-
-
 def counter(model_file: str) -> tuple[PieceCounter, dict[str, int]]:
-    if model_file not in _counters:
-        _counters[model_file] = PieceCounter(*vocabulary(model_file)), {}
-    return _counters[model_file]
+    return held(("counter", model_file), lambda: (PieceCounter(*vocabulary(model_file)), {}))
 
 
 def token_counts(docs: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
