@@ -10,8 +10,8 @@ from tabulon.functions.text import detect_unit, page_kind
 
 def stream_pages(spark: SparkSession, path: str, per_trigger: int = 100) -> DataFrame:
     """(source, page, text) of layout files as they arrive."""
-    files = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", per_trigger).text(path)
-    return files.select(F.col("_metadata.file_name").alias("source"), F.posexplode(F.split("value", "\f")).alias("page", "text")).withColumn("page", F.col("page") + 1)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", per_trigger).load(path)
+    return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("source"), F.posexplode(F.split(F.decode("content", "UTF-8"), "\f")).alias("page", "text")).withColumn("page", F.col("page") + 1)
 
 
 def classified(pages: DataFrame) -> DataFrame:
