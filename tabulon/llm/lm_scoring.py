@@ -231,7 +231,8 @@ def trained(training: DataFrame, file: str) -> tuple:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.w, model.slot.astype(np.int32), model.share))], pa.binary())], names=["model"])
 
     # the sample is bounded, and so is this one task
-    return pickle.loads(rows.coalesce(1).mapInArrow(fit, "model binary").first()["model"])
+    made = rows.coalesce(1).mapInArrow(fit, "model binary").first() if least else next(fit(iter(()))).to_pylist()[0]
+    return pickle.loads(made["model"])
 
 
 def spellings(e, words: list[str]) -> list[bytes]:
