@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -122,14 +122,15 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     Rows are taken in the order of a hash of their doc_id; rows without a
     language or a letter teach nothing.
     """
-    known = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("doc_id").alias("h"), "doc_id")
-    first = known.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).filter(F.col("r") <= rows)
-    last = {r["lang"]: r["h"] for r in first.groupBy("lang").agg(F.max("h").alias("h")).collect()}
-    if not last:
+    known = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "text")
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not sizes:
         return ()
-    bound = F.create_map(*(x for k, v in last.items() for x in (F.lit(k), F.lit(v))))
-    taken = labelled.filter(F.col("lang").isNotNull() & (F.xxhash64("doc_id") <= bound[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
-    taken = taken.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars).alias("text")).limit(2 * rows * len(last))
+    # hashes are spread evenly: below this one there are about twice as many rows as are wanted
+    bound = {k: -(1 << 63) + min((1 << 64) - 1, (1 << 64) * 2 * rows // n) for k, n in sizes.items()}
+    table = F.create_map(*(x for k, v in bound.items() for x in (F.lit(k), F.lit(v).cast("long"))))
+    h = F.xxhash64("doc_id")
+    taken = known.filter(h <= table[F.col("lang")]).select("lang", h.alias("h"), F.substring("text", 1, chars).alias("text")).limit(4 * rows * len(sizes))
     out: dict[str, list[str]] = {}
     for r in sorted(taken.toLocalIterator(), key=lambda r: (r["lang"], r["h"], r["text"])):
         have = out.setdefault(r["lang"], [])
