@@ -5,9 +5,11 @@ attention model, trained in numpy on a bounded sample of the training texts,
 gives the next id by its class and then by its place in the class. Windows
 overlap, so that every id is scored once and with context; a batch of windows
 goes through masked attention at once. A word's probability is its discounted
-share of all training words, and its spelling's part of what the discount frees. Those counts cover the whole corpus: blocks of
-documents ask for the counts of their distinct words, buckets of words add up
-what the training documents hold and answer every block.
+share of all training words, and its spelling's part of what the discount
+frees; a part of it goes to the words that the text has had before. The counts
+cover the whole corpus: blocks of documents ask for the counts of their
+distinct words, buckets of words add up what the training documents hold and
+answer every block.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ WIDTH, WINDOW, STRIDE = 16, 48, 32
 CLASSES, MEMBERS = 64, 64  # the most frequent ids by 64; all others are one more class, and keep their shares there
 STEPS, BATCH = 300, 48
 DISCOUNT = 0.75  # taken from each counted word's count
+COPY, COPY_AFTER = 0.3, 100  # part of a word's probability that earlier words of its text give, and after how many it has half of that
 STEP = 1024  # log10 probabilities of spellings are kept in steps of 1/1024
 BLOCK_WORDS, GROUP = 1 << 21, 1 << 20
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -354,6 +357,18 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at += len(a[0])
 
 
+def copied(doc: np.ndarray, place: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word, how many words of its text stand before it, and how many of those are the same word."""
+    first = np.cumsum(lengths) - lengths
+    order = np.lexsort((place, doc))
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (place[order][1:] != place[order][:-1])
+    at = np.arange(len(order))
+    earlier = np.empty(len(order), np.int64)
+    earlier[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return at - np.repeat(first, lengths), earlier
+
+
 def combined(n_train: int, n_ends: int, n_types: int):
     """Scores of documents, from their block and the answers to it."""
     log_all = math.log10(n_train + n_types + 1)
@@ -377,7 +392,11 @@ def combined(n_train: int, n_ends: int, n_types: int):
             free = DISCOUNT * n_types / n_train if n_train else 1.0
             part = lambda x: np.maximum(x - DISCOUNT, 0) / max(n_train, 1)
             base = add(np.log10(c + 1) - log_all) + (math.log10(n_ends + 1) - log_all)
-            score = add(np.log10(free * 10.0 ** (-lp.astype(np.float64) / STEP) + part(c))) + np.log10(free * 10.0**last + part(n_ends))
+            seen, earlier = copied(doc, place, lengths)
+            copy = COPY * seen / (seen + COPY_AFTER)
+            main = free * 10.0 ** (-lp.astype(np.float64) / STEP) + part(c)
+            at_end = 1 - COPY * lengths / (lengths + COPY_AFTER)
+            score = add(np.log10((1 - copy) * main + copy * earlier / np.maximum(seen, 1))) + np.log10(at_end * (free * 10.0**last + part(n_ends)))
             known = add(c > 0).astype(np.int64) + (n_ends > 0)
             columns = [pa.array([None if d == NULL_ID else d for d in ids.tolist()], pa.int64()), pa.array(out.astype(bool)), pa.array(lengths + 1), pa.array(known), pa.array(np.full(len(ids), n_train)), pa.array(base), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
