@@ -17,6 +17,9 @@ from tabulon.llm.packing import pieces
 from tabulon.llm.simhash import near_duplicates
 from tabulon.llm.suffix_dedup import suffix_dedup
 
+#: Workers live on from stage to stage; words that one keeps the results of.
+CACHE = 150_000
+
 
 def ready(docs: DataFrame) -> DataFrame:
     """docs once the last stage's scratch is gone: its result has been written elsewhere by now."""
@@ -30,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Languages are learned from the bounded sample of labelled rows that the operator documents.
     """
     docs = ready(docs)
-    return identify(docs, learn(docs), beside=("_language", "_score")).filter(F.col("_language") != NONE).select(docs.columns)
+    return identify(docs, learn(docs), beside=("_language", "_score"), cache=CACHE).filter(F.col("_language") != NONE).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,7 +91,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What is left, packed into sequences of at most 4096 ids."""
     import public_tokenizers
 
-    return pieces(ready(docs), public_tokenizers.path("word_bpe_49k.json"), ids=False)
+    return pieces(ready(docs), public_tokenizers.path("word_bpe_49k.json"), ids=False, cache=CACHE)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("suffix_array_dedup", suffix_array_dedup), ("benchmark_decontamination", benchmark_decontamination), ("packing", packing)]

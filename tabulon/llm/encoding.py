@@ -26,7 +26,8 @@ CLOSING = ".,;:!?"
 
 
 class Encoder:
-    def __init__(self, file: str):
+    def __init__(self, file: str, cache: int = CACHE):
+        self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -71,7 +72,7 @@ class Encoder:
 
     def head(self, piece: str) -> bytes:
         if (ids := self.heads.get(piece)) is None:
-            if len(self.heads) >= CACHE // 4:
+            if len(self.heads) >= self.cache // 4:
                 self.heads.clear()
             ids = self.heads[piece] = self.direct([piece])[0]
         return ids
@@ -117,7 +118,7 @@ class Encoder:
         return b"".join([self.new[c[1:]] if c[0] == " " and c[1:2] not in " \n\t\r" else self.head(c) for c in chunks])
 
     def group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.new) >= CACHE:
+        if len(self.new) >= self.cache:
             self.old, self.new = self.new, {}
         cut = [self.pieces(t) if t else [] for t in texts]
         missing: set[str] = set()
@@ -169,5 +170,5 @@ class Encoder:
         yield from self.group(group)
 
 
-def encoder(file: str) -> Encoder:
-    return held(("encoder", file), lambda: Encoder(file))
+def encoder(file: str, cache: int = CACHE) -> Encoder:
+    return held(("encoder", file, cache), lambda: Encoder(file, cache))

@@ -71,7 +71,8 @@ class SuffixAutomaton:
 
 
 class Parser:
-    def __init__(self, samples: tuple[tuple[str, str], ...]):
+    def __init__(self, samples: tuple[tuple[str, str], ...], cache: int = CACHE):
+        self.cache = cache
         self.names = [name for name, _ in samples]
         self.automata = [SuffixAutomaton(text) for _, text in samples]
         self.weights = np.array([math.log2(len(text) + 2) for _, text in samples])
@@ -82,7 +83,7 @@ class Parser:
         """Rows of self.counts for words."""
         got = list(map(self.rows.get, found))
         if None in got:
-            if len(self.rows) >= CACHE:
+            if len(self.rows) >= self.cache:
                 self.rows.clear()
                 got = [None] * len(found)
             for i, g in enumerate(got):
@@ -101,8 +102,8 @@ class Parser:
         if not self.names or not any(c.isalpha() for w in words for c in w):
             return NONE, 0.0
         total = np.zeros(len(self.names))
-        for at in range(0, len(words), CACHE):
-            rows = self.words(words[at : at + CACHE])  # may replace self.counts
+        for at in range(0, len(words), self.cache):
+            rows = self.words(words[at : at + self.cache])  # may replace self.counts
             total += self.counts[rows].sum(axis=0)
         total *= self.weights
         best = int(np.argmin(total))
@@ -112,8 +113,8 @@ class Parser:
         return self.names[best], second / (second + float(total[best]))
 
 
-def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return held(("parser", samples), lambda: Parser(samples))
+def parser(samples: tuple[tuple[str, str], ...], cache: int = CACHE) -> Parser:
+    return held(("parser", samples, cache), lambda: Parser(samples, cache))
 
 
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
@@ -139,17 +140,18 @@ def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHAR
     return tuple((k, f" {' '.join(v)} "[:chars]) for k, v in sorted(out.items()))
 
 
-def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: str = "doc_id", text_column: str = "text", beside: tuple[str, str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: str = "doc_id", text_column: str = "text", beside: tuple[str, str] | None = None, cache: int = CACHE) -> DataFrame:
     """(doc_id, lang_pred, score) of each row's whole text; with `beside`, all columns of docs and the two of these names.
 
     `und` with score 0 for a null text, one without a letter, or if nothing was
     learned. The score is the runner-up's part of what the two best languages
     need together: 0.5 at a tie, which goes to the first name, up to 1.
     Repeated rows each have a row; null ids stay null; other columns play no part.
+    cache: words that a worker keeps the counts of; it only costs or saves time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = parser(samples)
+        p = parser(samples, cache)
         for batch in batches:
             got = [p.predict(t.as_py()) for t in batch.column(at)]
             if beside:

@@ -20,17 +20,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulon.llm.common import NULL_ID, ids_of, pack, stored, unpack
-from tabulon.llm.encoding import encoder
+from tabulon.llm.encoding import CACHE, encoder
 
 PART_IDS = 1 << 21
 PIECE = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def parts(docs: DataFrame, file: str, end: int | None, columns: tuple[str, str, str]) -> DataFrame:
+def parts(docs: DataFrame, file: str, end: int | None, columns: tuple[str, str, str], cache: int = CACHE) -> DataFrame:
     """(task, seq, sources, counts, block): blocks of encoded documents, in the order of the input."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(file)
+        e = encoder(file, cache)
         last = b"" if end is None else np.array([end], e.dtype).tobytes()
         task = TaskContext.get().partitionId()
         seq = held = 0
@@ -95,17 +95,18 @@ def windows(total: int, length: int) -> list[int]:
     return [length] * (total // length) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pieces(docs: DataFrame, file: str, length: int = 4096, end: int | None = 2, targets: dict[str, float] | None = None, ids: bool = True, columns: tuple[str, str, str] = ("doc_id", "source", "text")) -> DataFrame:
+def pieces(docs: DataFrame, file: str, length: int = 4096, end: int | None = 2, targets: dict[str, float] | None = None, ids: bool = True, columns: tuple[str, str, str] = ("doc_id", "source", "text"), cache: int = CACHE) -> DataFrame:
     """Packed pieces: doc_id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked, the ids as little-endian unsigned 32-bit numbers.
 
     targets: the wanted token share of each source; without it, the shares of
     the whole input. Sources without a target are only used to fill up. Null
     texts have no ids but the end; a null source is a source of its own; each
     row is packed for itself, whether or not its doc_id is null or repeated.
+    cache: words that a worker keeps the ids of; it only costs or saves time.
     """
     if length & (length - 1) or length < 1:
         raise ValueError("length must be a power of two")
-    got = stored(parts(docs, file, end, columns))
+    got = stored(parts(docs, file, end, columns, cache))
     counts = got.select("task", "seq", F.explode(F.arrays_zip("sources", "counts")).alias("c")).select("task", "seq", F.col("c.sources").alias("source"), F.col("c.counts").alias("n"))
     # sums over the parts before, by source and over all: first within a task, then over tasks
     whole = counts.groupBy("task", "seq").agg(F.sum("n").alias("n"))

@@ -189,7 +189,9 @@ def settle(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarra
     return ~new & ~same, new
 
 
-def map_anchors(windows: Windows, n: int):
+def map_anchors(windows: Windows, n: int, n_docs: int):
+    """Step 1, with n buckets of k-grams and n_docs buckets of documents."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
         held: list[tuple] = []
@@ -200,7 +202,7 @@ def map_anchors(windows: Windows, n: int):
             order = np.lexsort((pos, doc, c, h))
             doc, pos, h, c = doc[order], pos[order], h[order], c[order]
             repeat, first = settle(h, c, doc, pos)
-            yield blocks(SETTLED, bucket_of(doc[repeat], n), doc[repeat], pos[repeat])
+            yield blocks(SETTLED, bucket_of(doc[repeat], n_docs), doc[repeat], pos[repeat])
             yield blocks(ANCHORS, (h[first] >> np.uint64(8)).astype(np.int64) % n, h[first], c[first], doc[first], pos[first])
 
         size = 0
@@ -354,23 +356,31 @@ def finish(windows: Windows, words: bool, with_text: bool):
     return run
 
 
-def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text", history: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
     """(doc_id, sub, n, n_removed, n_spans, kept_sha256[, spans, kept]) for each row of docs.
 
     index(blocks) -> (hashes, docs, positions, repeats, open) for step 2;
     emit and compare pack the contexts of open anchors and decide on them.
+    history: blocks of anchors and the texts (doc_id, sub, text) of earlier
+    documents, and the number of buckets of those blocks.
     """
     n = partitions(docs.sparkSession)
     rows = keyed(docs.withColumnRenamed(id_column, "doc_id") if id_column != "doc_id" else docs, text_column).withColumnRenamed(text_column, "text")
-    found = rows.mapInArrow(map_anchors(windows, 4 * n), BLOCKS).repartition(n, "bucket").mapInArrow(resolve_anchors(windows, 4 * n, index), BLOCKS)
-    found = stored(found)
-    texts = rows.select(bucket_column("doc_id", 4 * n).alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("block"), "doc_id", "sub", "text")
+    anchors = rows.mapInArrow(map_anchors(windows, history[2] if history else 4 * n, 4 * n), BLOCKS)
+    if history:
+        anchors = anchors.union(history[0])
+    found = stored(anchors.repartition(n, "bucket").mapInArrow(resolve_anchors(windows, 4 * n, index), BLOCKS))
+
+    def as_texts(df: DataFrame) -> DataFrame:
+        return df.select(bucket_column("doc_id", 4 * n).alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("block"), "doc_id", "sub", "text")
 
-    def beside(blocks_: DataFrame) -> DataFrame:
+    def beside(blocks_: DataFrame, texts: DataFrame) -> DataFrame:
         wide = blocks_.select("bucket", "kind", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("sub"), F.lit(None).cast("string").alias("text"))
         return texts.union(wide).repartition(n, "bucket")
 
-    contexts = beside(found.filter(F.col("kind") == OPEN)).mapInArrow(contexts_of(windows, n, emit), BLOCKS)
+    texts = as_texts(rows)
+    every = texts.union(as_texts(history[1])) if history else texts
+    contexts = beside(found.filter(F.col("kind") == OPEN), every).mapInArrow(contexts_of(windows, n, emit), BLOCKS)
     compared = stored(contexts.repartition(n, "bucket").mapInArrow(compare, BLOCKS))
     schema = "doc_id long, sub int, n long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<struct<first: long, last: long>>, kept binary" * with_text
-    return beside(found.filter(F.col("kind") == SETTLED).union(compared)).mapInArrow(finish(windows, words, with_text), schema)
+    return beside(found.filter(F.col("kind") == SETTLED).union(compared), texts).mapInArrow(finish(windows, words, with_text), schema)

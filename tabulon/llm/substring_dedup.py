@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulon.llm.common import bucket_of, partitions
-from tabulon.llm.repeats import COMPARED, OPEN, Windows, blocks, columns_of, gathered, one_block, repeats, runs, word_symbols
+from tabulon.llm.common import bucket_of, keyed, partitions, stored
+from tabulon.llm.repeats import ANCHORS, BLOCKS, COMPARED, OPEN, Windows, blocks, columns_of, gathered, map_anchors, one_block, repeats, runs, word_symbols
 
 WINDOW, GRAM = 20, 6
 FANOUT, BATCH = 4, 1 << 18
@@ -174,5 +175,78 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     return repeats(docs, windows, index, emitter(windows, n), comparer(windows, n), True, with_text, id_column, text_column)
 
 
+class SubstringIndex:
+    """The fingerprint index in a folder, for corpora that grow batch by batch.
+
+    The folder holds a run of fingerprints and the texts of each batch. A batch
+    is judged against all batches before it and within itself; its ids must lie
+    above all earlier ones. FANOUT runs are compacted into one, in which each
+    fingerprint and context stands once. A batch that broke off leaves a run
+    without a mark of success, which the next ingest replaces.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, buckets: int | None = None):
+        self.spark, self.path, self.window = spark, path.rstrip("/"), window
+        if not self._done("meta"):
+            spark.createDataFrame([(window, buckets or 4 * partitions(spark))], "window int, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/meta")
+        meta = spark.read.parquet(f"{self.path}/meta").first()
+        if meta["window"] != window:
+            raise ValueError(f"the index was made for windows of {meta['window']} words")
+        self.buckets = meta["buckets"]
+
+    def _hadoop(self, name: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _done(self, name: str) -> bool:
+        p, fs = self._hadoop(f"{name}/_SUCCESS")
+        return fs.exists(p)
+
+    def _folders(self, name: str) -> list[str]:
+        p, fs = self._hadoop(name)
+        found = sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+        return [f"{name}/{x}" for x in found if self._done(f"{name}/{x}")]
+
+    def _read(self, names: list[str], schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{x}" for x in names)) if names else self.spark.createDataFrame([], schema)
+
+    def ingest(self, docs: DataFrame, with_text: bool = False) -> DataFrame:
+        """substring_dedup() of a new batch, judged after all batches before it, which becomes part of the index."""
+        n = partitions(self.spark)
+        windows = Windows(self.window, min(GRAM, self.window), word_symbols)
+        rows = keyed(docs, "text")
+        old = self._read(self._folders("texts"), "doc_id long, sub int, text string")
+        least, most = rows.agg(F.min("doc_id")).first()[0], old.agg(F.max("doc_id")).first()[0]
+        if most is not None and ((least is not None and least <= most) or rows.filter("doc_id IS NULL").limit(1).count()):
+            raise ValueError(f"ids of a new batch must lie above {most}")
+        at = len(self._folders("texts"))
+        result = stored(repeats(docs, windows, index, emitter(windows, n), comparer(windows, n), True, with_text, history=(self._read(self._folders("runs"), BLOCKS), old, self.buckets)))
+        new = rows.mapInArrow(map_anchors(windows, self.buckets, 4 * n), BLOCKS).filter(F.col("kind") == ANCHORS)
+        new.write.mode("overwrite").parquet(f"{self.path}/runs/{at:08d}")
+        rows.write.mode("overwrite").parquet(f"{self.path}/texts/{at:08d}")
+        if len(self._folders("runs")) >= FANOUT:
+            self.compact()
+        return result
+
+    def compact(self) -> None:
+        """All runs as one."""
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            by: dict[int, list[bytes]] = {}
+            for batch in batches:
+                for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
+                    by.setdefault(bucket, []).append(block.as_py())
+            for bucket, found in by.items():
+                run = Run(*columns_of(found))
+                yield one_block(bucket, ANCHORS, *run.columns)
+
+        several = self._folders("runs")
+        target = several[-1] + "c"
+        self._read(several, BLOCKS).repartition(partitions(self.spark), "bucket").mapInArrow(merge, BLOCKS).write.mode("overwrite").parquet(f"{self.path}/{target}")
+        for name in several:
+            p, fs = self._hadoop(name)
+            fs.delete(p, True)
+
+
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet")).selectExpr("doc_id", "n as n_words", "n_removed", "n_spans", "kept_sha256")

@@ -71,6 +71,18 @@ def test_index_keeps_the_first_over_many_batches():
     assert got.tolist() == want and len(index.runs()) < 12
 
 
+def test_incremental_index(spark, docs, tmp_path):
+    index = substring_dedup.SubstringIndex(spark, str(tmp_path / "index"), buckets=5)
+    got = {}
+    for lo in range(0, 40, 8):
+        for r in index.ingest(docs.filter(f"doc_id >= {lo} and doc_id < {lo + 8}")).collect():
+            got[r["doc_id"]] = r["n_removed"]
+    assert got == {i: sum(gone) for i, (_, gone) in brute_windows(words, 20).items()}
+    assert len(index._folders("runs")) == 2 and len(index._folders("texts")) == 5
+    with pytest.raises(ValueError, match="must lie above"):
+        index.ingest(docs)
+
+
 def test_suffix_dedup(docs):
     want = brute_windows(lambda t: (t or "").encode(), 100)
     for r in suffix_dedup.suffix_dedup(docs, with_text=True).collect():
