@@ -19,6 +19,8 @@ from tabulon.llm.suffix_dedup import suffix_dedup
 
 #: Workers live on from stage to stage; words that one keeps the results of.
 CACHE = 150_000
+#: Labelled text of each language; the stage only has to tell texts from what is none.
+SAMPLE_CHARS = 60_000
 
 
 def ready(docs: DataFrame) -> DataFrame:
@@ -33,7 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Languages are learned from the bounded sample of labelled rows that the operator documents.
     """
     docs = ready(docs)
-    return identify(docs, learn(docs), beside=("_language", "_score"), cache=CACHE).filter(F.col("_language") != NONE).select(docs.columns)
+    return identify(docs, learn(docs, chars=SAMPLE_CHARS), beside=("_language", "_score"), cache=CACHE).filter(F.col("_language") != NONE).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
