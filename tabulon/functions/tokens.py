@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from tabulon import vocabulary as voc
-from tabulon.functions.text import clean_label, text, to_number
+from tabulon.functions.text import bones, clean_label, text, to_number
 
 TOKENS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("tok", StringType())]))
 _pattern = re.compile(voc.TOKEN)
@@ -123,7 +123,7 @@ def _four(some: Column) -> Column:
 def spill_values(page, consonants: str = voc.CONSONANTS, least: int = 3, max_lines: int = 24) -> Column:
     """Values of a column that went to a page of its own: lines of one token and no letters, on a short page with a line of totals; NULL if fewer than `least`."""
     lines = F.filter(F.split(text(page), "\n"), lambda ln: F.trim(ln) != "")
-    total = F.exists(lines, lambda ln: F.regexp_replace(ln, f"[^{consonants}]", "").startswith(voc.TOTAL.replace("ั", "").replace("า", "")))
+    total = F.exists(lines, lambda ln: F.regexp_replace(ln, f"[^{consonants}]", "").startswith(bones(voc.TOTAL, consonants)))
     single = F.filter(lines, lambda ln: ~ln.rlike(f"[{consonants}]") & ln.rlike(r"^\s*(\(?-?[0-9,]+\.?[0-9]*\)?|-)\s*$"))
     values = F.transform(single, lambda ln: F.trim(ln))
     last = F.element_at(values, -1)

@@ -49,7 +49,7 @@ def test_candidates_are_specific_first(spark):
 def test_pages(spark):
     table = "\n".join(["1,234 5,678"] * 8)
     kind = lambda head, **o: one(spark, tx.page_kind(F.lit(f"{head}\n{table}"), **o))
-    assert kind("งบแสดงฐานะการเงิน") == "BS" and kind("งบกำไรขาดทุนเบ็ดเสร็จ") == "IS" and kind("งบกระแสเงินสด") == "CF"
+    assert kind("งบฐานะการเงิน") == "BS" and kind("งบกำไรขาดทุนเบ็ดเสร็จ") == "IS" and kind("งบกระแสเงินสด") == "CF"
     assert kind("งบการเปลี่ยนแปลงส่วนของผู้ถือหุ้น") == "SE" and kind("หมายเหตุประกอบงบกระแสเงินสด") is None
     assert kind("สินทรัพย์") is None and kind("สินทรัพย์", strict=False) == "BS"
     assert one(spark, tx.page_kind(F.lit("งบกระแสเงินสด"))) is None
@@ -84,3 +84,30 @@ def test_traps_in_order(spark):
     cases = [(("รวม", 1.0, 2.0), "subtotal"), (("x", None, None), "dash_empty"), (("x", 1.5, -1.0), "decimal"), (("x", -1.0, None), "parentheses"), (("x" * 36, 1.0, 2.0), "long_name"), (("x", 2e8, 1.0), "long_num"), (("x", 5000.0, None), "dash_empty"), (("x", 5.0, 6.0), "small_num"), (("x", 5000.0, 6.0), "normal")]
     df = spark.createDataFrame([c for c, _ in cases], "item string, a double, b double")
     assert [r["t"] for r in df.select(tx.trap("item", ["a", "b"]).alias("t")).collect()] == [w for _, w in cases]
+
+
+def test_spilled_columns_and_sides(spark):
+    page = "ยอดรวม\nรวม\n  1,000\n  (2,000)\n  -\n  3,000\n 12"
+    assert one(spark, tokens.spill_values(F.lit(page))) == [1000.0, -2000.0, None, 3000.0]
+    assert one(spark, tokens.spill_values(F.lit("รวม\n1,000\n2,000"))) is None
+    assert one(spark, tokens.spill_values(F.lit("ข้อความ\n1,000\n2,000\n3,000"))) is None
+
+
+def test_value_columns(spark):
+    pick = lambda cols, shares, short: one(spark, tokens.value_columns(F.array(*map(F.lit, cols)), F.array(*map(F.lit, shares)), F.lit(short)))
+    assert pick([10, 20, 30, 40], [0.0] * 4, 1.0) == [10, 20, 30, 40]
+    assert pick([5, 10, 20, 30, 40], [0.0, 0.0, 0.0, 0.0, 0.9], 0.9) == [10, 20, 30, 40]
+    assert pick([1, 2, 3, 4, 5, 6], [0.9, 0.9, 0.1, 0.9, 0.9, 0.1], 0.0) == [1, 2, 4, 5]
+    assert pick([1, 2, 3, 4, 5, 6], [0.9] * 6, 0.0) == [1, 3, 4, 6]
+    assert pick([1, 2, 3, 4, 5], [0.9] * 5, 0.0) == [2, 3, 4, 5]
+
+
+def test_small_text_functions(spark):
+    assert one(spark, tx.company_of(F.lit("/a/FS_AIS-2025.pdf"), ["SCB", "AIS"])) == "AIS"
+    assert one(spark, tx.company_of(F.lit("/scb/xaisx.pdf"), ["SCB", "AIS"])) is None
+    assert one(spark, tx.component_label(F.lit("ทุน 1,234 5,678"))) == "ทุน"
+    assert one(spark, tx.reattach_year(F.lit("ยอด 2568"), F.lit("ยอด"))) == "ยอด 2568"
+    assert one(spark, tx.normalise_digits(F.lit("1O,l00"))) == "10,100" and one(spark, tx.normalise_digits(F.lit("lOO"))) == "lOO"
+    assert one(spark, tx.same(F.lit(None).cast("double"), F.lit(None).cast("double"))) and not one(spark, tx.same(F.lit(1.0), F.lit(None).cast("double")))
+    assert one(spark, tx.rounded(F.lit(0.0625), 3)) == 0.062
+    assert one(spark, tx.failure_message(F.lit(1234.5), F.lit(2.0), F.lit("x"))) == "x: 1,234.50 != 2.00"
