@@ -21,6 +21,7 @@ from tabulon.llm.common import held
 
 CACHE, GROUP = 800_000, 1 << 21
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍ -  -⁠　﻿]")
+UNUSUAL = re.compile(r"[ \n\t\r]|" + ODD.pattern)
 CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 CLOSING = ".,;:!?"
 
@@ -121,11 +122,14 @@ class Encoder:
         if len(self.new) >= self.cache:
             self.old, self.new = self.new, {}
         cut = [self.pieces(t) if t else [] for t in texts]
+        known = [list(map(self.new.get, c)) if c else [] for c in cut]
         missing: set[str] = set()
-        for c in cut:
-            if c:
-                missing.update([p for p in (c[1:] if self.spaced else c) if p not in self.new])
-        odd = {p for p in missing if not p or p.split() != [p] or ODD.search(p)} if self.spaced else set()
+        for c, got in zip(cut, known, strict=True):
+            if self.spaced and c:
+                got[0] = b""  # the start of a text has no space before it
+            if None in got:
+                missing.update([p for p, ids in zip(c, got, strict=True) if ids is None])
+        odd = {p for p in missing if not p or UNUSUAL.search(p)} if self.spaced else set()
         chunked = {}
         for p in odd:  # a piece with a line end within
             if p and p[-1] not in " \n\t\r" and not ODD.search(p):
@@ -137,24 +141,28 @@ class Encoder:
                     missing.add(first[1:])
         self.resolve(missing - odd - self.new.keys())
         here = self.new
-        if odd:
-            extra = {p: (here[a] if a else b"") + b"".join(map(self.head, rest)) for p, (a, rest) in chunked.items()}
-        for t, c in zip(texts, cut, strict=True):
+        extra = {p: (here[a] if a else b"") + b"".join(map(self.head, rest)) for p, (a, rest) in chunked.items()}
+        for t, c, got in zip(texts, cut, known, strict=True):
             if not t:
                 yield b""
-            elif c is None:
+                continue
+            if c is None:
                 yield self.slow(t)
-            elif self.bare:
-                yield b"".join(map(here.__getitem__, c))
-            else:
-                got = list(map(here.get, c))
-                if None in got[1:]:
-                    got = [extra.get(p) if ids is None else ids for p, ids in zip(c, got, strict=True)]
-                if None in got[1:] or c[0] != c[0].strip() or not c[0] or ODD.search(c[0]):
+                continue
+            if None in got:
+                got = [(here.get(p) or extra.get(p)) if ids is None else ids for p, ids in zip(c, got, strict=True)]
+                if None in got:
+                    if self.bare:
+                        got = [here[p] for p in c]
+                    else:
+                        yield self.slow(t)
+                        continue
+            if self.spaced:
+                if not c[0] or UNUSUAL.search(c[0]):
                     yield self.slow(t)
-                else:
-                    got[0] = b"".join(map(self.head, CHUNK.findall(c[0])))
-                    yield b"".join(got)
+                    continue
+                got[0] = self.head(c[0])
+            yield b"".join(got)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each whole text, as little-endian numbers of self.dtype; null is empty."""
