@@ -360,9 +360,10 @@ def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def copied(doc: np.ndarray, place: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each word, how many words of its text stand before it, and how many of those are the same word."""
     first = np.cumsum(lengths) - lengths
-    order = np.lexsort((place, doc))
+    key = doc * (int(place.max(initial=0)) + 1) + place
+    order = np.argsort(key, kind="stable")
     new = np.ones(len(order), bool)
-    new[1:] = (doc[order][1:] != doc[order][:-1]) | (place[order][1:] != place[order][:-1])
+    new[1:] = np.diff(key[order]) > 0
     at = np.arange(len(order))
     earlier = np.empty(len(order), np.int64)
     earlier[order] = at - np.maximum.accumulate(np.where(new, at, 0))

@@ -384,3 +384,14 @@ def test_empty_tables(spark):
     assert decontaminate.contamination(none, spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert lm_scoring.score(none.withColumn("held_out", F.lit(False)), P.path("byte_bpe_50k.json")).count() == 0
     assert neighbours.neighbours(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
+
+
+def test_copied_counts_earlier_words_of_a_text():
+    rng = np.random.default_rng(0)
+    lengths = np.array([0, 5, 1, 0, 40])
+    doc = np.repeat(np.arange(5), lengths)
+    place = rng.integers(0, 6, len(doc)).astype(np.uint32)
+    seen, earlier = lm_scoring.copied(doc, place, lengths)
+    for i in range(len(doc)):
+        before = [j for j in range(i) if doc[j] == doc[i]]
+        assert (seen[i], earlier[i]) == (len(before), sum(place[j] == place[i] for j in before))
