@@ -222,6 +222,7 @@ def map_anchors(windows: Windows, n: int, n_docs: int):
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
+    let_go()
     out: dict[int, list[bytes]] = {}
     for batch in batches:
         for kind, block in zip(batch.column("kind").to_pylist(), batch.column("block"), strict=True):
@@ -286,6 +287,7 @@ def contexts_of(windows: Windows, n: int, emit):
 
 
 def split(batches: Iterator[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], dict[int, list[bytes]]]:
+    let_go()
     texts, found = [], {}
     for batch in batches:
         kind = batch.column("kind").to_numpy()

@@ -131,6 +131,7 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp.view(np.int64))], names=["key", "fp"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if len(b)]
         if not got:
             return
