@@ -36,7 +36,7 @@ CLASSES, MEMBERS = 64, 64  # the most frequent ids by 64; all others are one mor
 STEPS, BATCH = 300, 48
 DISCOUNT = 0.75  # taken from each counted word's count
 COPY, COPY_AFTER = 0.3, 100  # part of a word's probability that earlier words of its text give, and after how many it has half of that
-STEP = 1024  # log10 probabilities of spellings are kept in steps of 1/1024
+STEP = 1024  # log10 probabilities of spellings are kept in steps of 1/1024, as 64-bit numbers: no word is too long for them
 BLOCK_WORDS, GROUP = 1 << 21, 1 << 20
 LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 F4 = np.float32
@@ -328,7 +328,7 @@ def spelled(model, file: str, n: int):
                 scores = attention.score(stream, bounds).astype(np.float64)
                 sums = np.concatenate(([0.0], np.cumsum(scores)))
                 a = to + doc
-                lp = np.minimum(np.rint((sums[a] - sums[a + word_ids]) * STEP), 65535).astype(np.uint16)
+                lp = np.rint(np.maximum(sums[a] - sums[a + word_ids], 0) * STEP).astype(np.uint64)
                 held.append((ids[i:j], out[i:j], lengths, h, lp, scores[bounds[1:] - 1]))
                 size += len(h)
                 if size >= BLOCK_WORDS:
@@ -370,6 +370,12 @@ def copied(doc: np.ndarray, place: np.ndarray, lengths: np.ndarray) -> tuple[np.
     return at - np.repeat(first, lengths), earlier
 
 
+def log_sum(log: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """log10(10**log + x), where x may be 0 and 10**log may be less than any float."""
+    with np.errstate(divide="ignore"):
+        return np.where(x > 0, np.log10(10.0**log + x), log)
+
+
 def combined(n_train: int, n_ends: int, n_types: int):
     """Scores of documents, from their block and the answers to it."""
     log_all = math.log10(n_train + n_types + 1)
@@ -382,7 +388,7 @@ def combined(n_train: int, n_ends: int, n_types: int):
                 (docs if kind == DOCS else told).setdefault(block, []).append(data.as_py())
         for block, (data,) in docs.items():
             ids, out, lengths, place, lp, last, (size,) = unpack(data)
-            place, lp = unplaned(place, np.uint32), unplaned(lp, np.uint16)
+            place, lp = unplaned(place, np.uint32), unplaned(lp, np.uint64)
             count = np.zeros(size, np.int64)
             for x in told.get(block, ()):
                 total, at = unpack(x)
@@ -395,9 +401,9 @@ def combined(n_train: int, n_ends: int, n_types: int):
             base = add(np.log10(c + 1) - log_all) + (math.log10(n_ends + 1) - log_all)
             seen, earlier = copied(doc, place, lengths)
             copy = COPY * seen / (seen + COPY_AFTER)
-            main = free * 10.0 ** (-lp.astype(np.float64) / STEP) + part(c)
             at_end = 1 - COPY * lengths / (lengths + COPY_AFTER)
-            score = add(np.log10((1 - copy) * main + copy * earlier / np.maximum(seen, 1))) + np.log10(at_end * (free * 10.0**last + part(n_ends)))
+            spelling = np.log10((1 - copy) * free) - lp.astype(np.float64) / STEP
+            score = add(log_sum(spelling, (1 - copy) * part(c) + copy * earlier / np.maximum(seen, 1))) + log_sum(np.log10(at_end * free) + last, at_end * part(n_ends))
             known = add(c > 0).astype(np.int64) + (n_ends > 0)
             columns = [pa.array([None if d == NULL_ID else d for d in ids.tolist()], pa.int64()), pa.array(out.astype(bool)), pa.array(lengths + 1), pa.array(known), pa.array(np.full(len(ids), n_train)), pa.array(base), pa.array(score)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -315,6 +315,16 @@ def test_lm_scoring(docs):
         assert r["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws)) and r["score"] < 0
 
 
+def test_lm_scoring_of_long_words(spark):
+    rng = random.Random(3)
+    cjk = lambda n: "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(n))
+    texts = ["a plain text to learn from"] * 4 + [cjk(60), cjk(600), cjk(10_000)]
+    rows = spark.createDataFrame([(i, t, i > 3) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score(rows, P.path("byte_bpe_50k.json")).collect()}
+    # an unknown word's score goes on with its length: a like part for each character, far beyond what 16 bits or a float's exponent hold
+    assert got[6] < -10_000 and got[5] / 600 == pytest.approx(got[6] / 10_000, rel=0.2) and got[4] < -100
+
+
 def test_attention_gradients_and_windows():
     rng = np.random.default_rng(0)
     m = lm_scoring.Attention.start(300, rng.integers(0, 50, 300).astype(float))
