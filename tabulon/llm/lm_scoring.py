@@ -1,8 +1,10 @@
 """LM scoring: a causal self-attention model over subword ids, beside exact word counts of the corpus.
 
 A text is words and one end. Each word is spelled in subword ids; a one-layer
-attention model, trained in numpy on a bounded sample of the training texts,
-gives the next id by its class and then by its place in the class. Windows
+attention model, trained in numpy on every window of all training texts, gives
+the next id by its class and then by its place in the class. It is trained in
+rounds: each task goes through its documents of the round from the last round's
+model on, and the tasks' models are averaged by ids trained on. Windows
 overlap, so that every id is scored once and with context; a batch of windows
 goes through masked attention at once. A word's probability is its discounted
 share of all training words, and its spelling's part of what the discount
@@ -15,7 +17,7 @@ answer every block.
 from __future__ import annotations
 
 import math
-import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +31,12 @@ from tabulon.llm.encoding import encoder
 from tabulon.llm.language_id import remainder
 from tabulon.llm.repeats import word_symbols
 
-#: Bounds of the sample that the attention model is trained on.
-SAMPLE_ROWS, SAMPLE_CHARS = 600, 4000
 WIDTH, WINDOW, STRIDE = 16, 48, 32
 CLASSES, MEMBERS = 64, 64  # the most frequent ids by 64; all others are one more class, and keep their shares there
-STEPS, BATCH = 300, 48
+#: Training goes through all ids once, and up to this many steps of so many windows where there are few; of more windows where there are many.
+STEPS, BATCH, LARGE_BATCH = 300, 48, 256
+ROUNDS, ONE_TASK = 4, 1 << 21  # rounds after which models are averaged; up to so many ids one task makes the one model
+LOT, PIECES = 1 << 16, 16  # windows that are shuffled together; pieces in which models are added up
 DISCOUNT = 0.75  # taken from each counted word's count
 COPY, COPY_AFTER = 0.3, 100  # part of a word's probability that earlier words of its text give, and after how many it has half of that
 STEP = 1024  # log10 probabilities of spellings are kept in steps of 1/1024, as 64-bit numbers: no word is too long for them
@@ -101,21 +104,28 @@ class Attention:
         flat = lambda t: t.reshape(-1, t.shape[-1])
         out = {"u": flat(z).T @ flat(g), "b": flat(g).sum(0)}
         dz = g @ w["u"].T
-        # the ids of the classes
-        own = y < CLASSES
-        c, m, zo = y[own], member[own], z[own]
-        l2 = np.einsum("nd,ndm->nm", zo, w["u2"][c]) + w["b2"][c]
-        l2 -= l2.max(-1, keepdims=True)
-        g2 = np.exp(l2)
+        # the ids of the classes, class by class
+        c, zf = y.ravel(), flat(z)
+        by = np.argsort(c.astype(np.uint8), kind="stable")
+        edges = np.searchsorted(c[by], np.arange(CLASSES + 1)).tolist()
+        by, parts = by[: edges[-1]], [(k_, i, j) for k_, (i, j) in enumerate(zip(edges, edges[1:], strict=False)) if i < j]
+        m, zo = member.ravel()[by], zf[by]
+        g2 = np.empty((len(by), MEMBERS), zf.dtype)
+        for k_, i, j in parts:
+            g2[i:j] = zo[i:j] @ w["u2"][k_] + w["b2"][k_]
+        g2 -= g2.max(-1, keepdims=True)
+        np.exp(g2, out=g2)
         g2 /= g2.sum(-1, keepdims=True)
-        loss -= float(np.log(g2[np.arange(len(m)), m] + 1e-12).sum()) / n
-        g2[np.arange(len(m)), m] -= 1
+        at = np.arange(len(m))
+        loss -= float(np.log(g2[at, m] + 1e-12).sum()) / n
+        g2[at, m] -= 1
         g2 /= n
         out["u2"], out["b2"] = np.zeros_like(w["u2"]), np.zeros_like(w["b2"])
-        np.add.at(out["b2"], c, g2)
-        for k_ in np.unique(c):
-            out["u2"][k_] = zo[c == k_].T @ g2[c == k_]
-        dz[own] += np.einsum("nm,ndm->nd", g2, w["u2"][c])
+        dzf = flat(dz)
+        for k_, i, j in parts:
+            out["u2"][k_], out["b2"][k_] = zo[i:j].T @ g2[i:j], g2[i:j].sum(0)
+            dzf[by[i:j]] += g2[i:j] @ w["u2"][k_].T
+        dz = dzf.reshape(z.shape)
         dav = dz @ w["o"].T
         out["o"] = flat(av).T @ flat(dz)
         da = dav @ v.transpose(0, 2, 1)
@@ -127,26 +137,36 @@ class Attention:
         out["p"] = np.zeros_like(w["p"])
         out["p"][: x.shape[1]] = de.sum(0)
         out["e"] = np.zeros_like(w["e"])
-        np.add.at(out["e"], x.ravel(), flat(de))
+        by = np.argsort(x.ravel(), kind="stable")
+        ids = x.ravel()[by]
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        out["e"][ids[first]] = np.add.reduceat(flat(de)[by], first)
         return loss, out
 
-    def train(self, texts: list[np.ndarray], steps: int = STEPS, batch: int = BATCH, seed: int = 6) -> Attention:
-        """Adam over random windows of the texts' ids, each with the end in front and behind."""
-        stream = np.concatenate(texts)
-        if len(stream) <= WINDOW:
-            return self
+    def train(self, lots: Iterator[np.ndarray], passes: int = 1, batch: int = BATCH, rate: float = 0.02, steps: int = 0, seed: int = 6) -> int:
+        """Adam over all windows of each lot (rows of ids, each with the id behind it), in random order; gives how many ids were gone through. The rate falls to 0 over steps, if they are given."""
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         s = {k: np.zeros_like(v) for k, v in self.w.items()}
-        for t in range(1, steps + 1):
-            at = rng.integers(0, len(stream) - WINDOW, batch)[:, None] + np.arange(WINDOW)
-            _, g = self.gradients(stream[at], stream[at + 1])
-            rate = 0.02 * min(1.0, t / 20) * (1 - t / (steps + 1)) ** 0.5
-            for k, v in g.items():
-                m[k] = 0.9 * m[k] + 0.1 * v
-                s[k] = 0.99 * s[k] + 0.01 * v * v
-                self.w[k] -= (rate / (1 - 0.9**t) * m[k] / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)).astype(F4)
-        return Attention(self.w, self.slot, self.share)
+        t = done = 0
+        for lot in lots:
+            for _ in range(passes):
+                order = rng.permutation(len(lot))
+                for i in range(0, len(order), batch):
+                    ids = lot[order[i : i + batch]].astype(np.int64)
+                    _, g = self.gradients(ids[:, :-1], ids[:, 1:])
+                    t += 1
+                    now = rate * min(1.0, t / 20) * (max(0.0, 1 - t / (steps + 1)) ** 0.5 if steps else 1.0)
+                    for k, v in g.items():
+                        m[k] *= F4(0.9)
+                        m[k] += F4(0.1) * v
+                        s[k] *= F4(0.99)
+                        s[k] += F4(0.01) * v * v
+                        step = np.sqrt(s[k] * F4(1 / (1 - 0.99**t)))
+                        step += F4(1e-8)
+                        self.w[k] -= F4(now / (1 - 0.9**t)) * m[k] / step
+            done += lot.shape[0] * (lot.shape[1] - 1)
+        return done
 
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """log10 probability of each id of texts laid end to end; text i is ids[bounds[i] : bounds[i + 1]].
@@ -214,28 +234,118 @@ def softmax_at(z: np.ndarray, u: np.ndarray, b: np.ndarray, chosen: np.ndarray)
     return at - np.log(logits.sum(-1))
 
 
-def trained(training: DataFrame, file: str) -> tuple:
-    """The model as plain arrays, from at most SAMPLE_ROWS training rows by a hash of their doc_id, up to SAMPLE_CHARS characters of each."""
-    by = F.xxhash64("doc_id")
-    least = [r[0] for r in training.select(by.alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()]
-    rows = training.filter(by <= max(least, default=0)).select(by.alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * SAMPLE_ROWS)
+def lowered_words(text: str | None) -> list[str]:
+    return [w.decode() for w in (text or "").encode().translate(LOWER.tobytes()).split()]
+
+
+def counted(file: str):
+    """How often texts have each subword id, with an end for each text; in pieces."""
 
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sorted(((h, t or "") for b in batches for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)))[:SAMPLE_ROWS]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(file)
-        size = e.tokenizer.get_vocab_size()
-        end = np.array([size - 1])
-        texts = [end]
-        for _, text in found:
-            words = [w.decode() for w in text.encode().translate(LOWER.tobytes()).split()]
-            texts += [np.frombuffer(b"".join(spellings(e, words)), e.dtype).astype(np.int64), end]
-        counts = np.bincount(np.concatenate(texts), minlength=size).astype(float)
-        model = Attention.start(size, counts).train(texts)
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((model.w, model.slot.astype(np.int32), model.share))], pa.binary())], names=["model"])
-
-    # the sample is bounded, and so is this one task
-    made = rows.coalesce(1).mapInArrow(fit, "model binary").first() if least else next(fit(iter(()))).to_pylist()[0]
-    return pickle.loads(made["model"])
+        total, texts = np.zeros(e.tokenizer.get_vocab_size(), np.int64), 0
+        words: Counter = Counter()
+
+        def add() -> None:
+            got = spellings(e, list(words))
+            sizes = np.array([len(x) for x in got], np.int64) // e.dtype.itemsize
+            weights = np.repeat(np.array(list(words.values()), np.int64), sizes)
+            np.add(total, np.bincount(np.frombuffer(b"".join(got), e.dtype), weights=weights, minlength=len(total)).astype(np.int64), out=total)
+            words.clear()
+
+        for batch in batches:
+            for text in batch.column(0):
+                words.update(lowered_words(text.as_py()))
+                texts += 1
+                if len(words) >= 1 << 17:
+                    add()
+        if texts:
+            add()
+            total[-1] += texts
+            yield from in_pieces(total, 1)
+
+    return run
+
+
+def in_pieces(x: np.ndarray, weight: float) -> Iterator[pa.RecordBatch]:
+    for i, part in enumerate(np.array_split(x, PIECES)):
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([float(weight)]), pa.array([pack(part)], pa.binary())], names=["piece", "weight", "data"])
+
+
+def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The weighted sum of each piece."""
+    sums: dict[int, list] = {}
+    for batch in batches:
+        for i, weight, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            x = unpack(data.as_py())[0] * np.float64(weight)
+            sums[i] = [sums[i][0] + weight, sums[i][1] + x] if i in sums else [weight, x]
+    for i, (weight, x) in sums.items():
+        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([float(weight)]), pa.array([pack(x)], pa.binary())], names=["piece", "weight", "data"])
+
+
+def summed(pieces: DataFrame) -> tuple[float, np.ndarray | None]:
+    """Sum of the weights, and the weighted sum of all vectors; the driver only gets the sums."""
+    got = sorted((r["piece"], r["weight"], r["data"]) for r in pieces.repartition(PIECES, "piece").mapInArrow(added, PARTS).toLocalIterator())
+    return (got[0][1], np.concatenate([unpack(x)[0] for _, _, x in got])) if got else (0.0, None)
+
+
+PARTS = "piece int, weight double, data binary"
+
+
+def windows(e, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """All ids of texts laid end to end, an end in front and behind each, as lots of windows with the id behind each; only windows at the end overlap, or are shorter."""
+    held, size = [np.array([end], np.int32)], 1
+    for batch in batches:
+        for text in batch.column(0):
+            held += [np.frombuffer(b"".join(spellings(e, lowered_words(text.as_py()))), e.dtype).astype(np.int32), np.array([end], np.int32)]
+            size += len(held[-2]) + 1
+            if size > LOT * WINDOW:
+                stream = np.concatenate(held)
+                n = (size - 1) // WINDOW
+                yield np.lib.stride_tricks.sliding_window_view(stream, WINDOW + 1)[: n * WINDOW : WINDOW]
+                held = [stream[n * WINDOW :].copy()]
+                size = len(held[0])
+    stream = np.concatenate(held)
+    if size > WINDOW:
+        views = np.lib.stride_tricks.sliding_window_view(stream, WINDOW + 1)
+        yield views[np.append(np.arange(0, size - WINDOW, WINDOW), size - WINDOW - 1)] if (size - 1) % WINDOW else views[::WINDOW]
+    elif size > 1:
+        yield stream[None, :]
+
+
+def trained(training: DataFrame, file: str) -> tuple:
+    """The model as plain arrays, from all training rows."""
+    spark = training.sparkSession
+    _, counts = summed(training.select("text").mapInArrow(counted(file), PARTS))
+    if counts is None:
+        counts = np.zeros(encoder(file).tokenizer.get_vocab_size())
+    total = int(counts.sum())
+    counts[-1] += 1
+    model = Attention.start(len(counts), counts)
+    names, slot, share = sorted(model.w), model.slot, model.share
+    shapes = [model.w[k].shape for k in names]
+    cuts = np.cumsum([model.w[k].size for k in names])[:-1]
+    rounds, tasks = (1, 1) if total <= ONE_TASK else (ROUNDS, spark.sparkContext.defaultParallelism)
+    passes = max(1, min(STEPS, STEPS * BATCH * WINDOW // max(total, 1)))
+    batch = min(LARGE_BATCH, max(BATCH, total // WINDOW // 2000))
+    steps = passes * -(-total // (WINDOW * batch)) if rounds == 1 else 0
+    of = F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds))
+    for r in range(rounds if total else 0):
+        given = spark.sparkContext.broadcast((np.concatenate([model.w[k].ravel() for k in names]), slot, share))
+
+        def fit(batches: Iterator[pa.RecordBatch], given=given, r=r) -> Iterator[pa.RecordBatch]:
+            flat, slot, share = given.value
+            w = {k: x.reshape(s).copy() for k, x, s in zip(names, np.split(flat, cuts), shapes, strict=True)}
+            own = Attention(w, slot, share)
+            done = own.train(windows(encoder(file), len(slot) - 1, batches), passes, batch, 0.02 * (1 - r / rounds), steps, seed=6 + r)
+            if done:
+                yield from in_pieces(np.concatenate([own.w[k].ravel() for k in names]), done)
+
+        weight, flat = summed(training.filter(of == r).select("text").coalesce(tasks).mapInArrow(fit, PARTS))
+        given.unpersist()
+        if flat is not None:
+            model.w = {k: x.reshape(s) for k, x, s in zip(names, np.split((flat / weight).astype(F4), cuts), shapes, strict=True)}
+    return model.w, slot.astype(np.int32), share
 
 
 def spellings(e, words: list[str]) -> list[bytes]:

@@ -325,6 +325,51 @@ def test_lm_scoring_of_long_words(spark):
     assert got[6] < -10_000 and got[5] / 600 == pytest.approx(got[6] / 10_000, rel=0.2) and got[4] < -100
 
 
+def test_attention_learns_from_all_training_texts(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    from tabulon.llm.encoding import encoder
+
+    file = P.path("byte_bpe_50k.json")
+    # 700 texts; what is to be learned, "kiwi" after "lemon", stands only behind the first 4000 characters
+    texts = [f"w{i} " + "pad " * 1000 + "lemon kiwi " * 60 for i in range(700)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    e = encoder(file)
+    count = Counter(w for t in texts for w in t.split())
+    want = np.zeros(e.tokenizer.get_vocab_size())
+    for w, ids in zip(count, lm_scoring.spellings(e, list(count)), strict=True):
+        np.add.at(want, np.frombuffer(ids, e.dtype), count[w])
+    want[-1] += len(texts)
+    assert lm_scoring.summed(rows.select("text").mapInArrow(lm_scoring.counted(file), lm_scoring.PARTS))[1].tolist() == want.tolist()
+    ids = np.frombuffer(b"".join(lm_scoring.spellings(e, ["lemon", "kiwi"] * 20)), e.dtype).astype(np.int64)
+    monkeypatch.setattr(lm_scoring, "LOT", 256)
+    monkeypatch.setattr(lm_scoring, "ONE_TASK", 1 << 14)  # rounds and averages, too
+    for some in (rows, rows.limit(5)):
+        w, slot, share = lm_scoring.trained(some, file)
+        m = lm_scoring.Attention(w, slot.astype(np.int64), share)
+        assert m.score(ids, np.array([0, len(ids)]))[4:].mean() > math.log10(0.5)
+
+
+def test_windows_hold_every_id_once():
+    class Spelled:
+        dtype, new, old = np.dtype("<u2"), {str(i): np.array([i], "<u2").tobytes() for i in range(900)}, {}
+
+    import pyarrow as pa
+
+    rng, want = random.Random(4), [999]
+    texts = [[rng.randrange(900) for _ in range(rng.choice([0, 3, 47, 48, 200]))] for _ in range(60)]
+    for t in texts:
+        want += [*t, 999]
+    for lot in (1, 5, 1 << 16):
+        lm_scoring.LOT, kept = lot, lm_scoring.LOT
+        got = list(lm_scoring.windows(Spelled, 999, iter([pa.RecordBatch.from_arrays([pa.array([" ".join(map(str, t)) for t in texts])], names=["text"])])))
+        lm_scoring.LOT = kept
+        *whole, last = [r.tolist() for x in got for r in x]
+        body = [i for r in whole for i in r[1:]]
+        assert body == want[1 : len(body) + 1] and last == want[-len(last) :] and len(want) - len(last) <= len(body)
+
+
 def test_attention_gradients_and_windows():
     rng = np.random.default_rng(0)
     m = lm_scoring.Attention.start(300, rng.integers(0, 50, 300).astype(float))
