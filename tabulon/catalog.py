@@ -586,7 +586,7 @@ def fuzzy_alias(spark, sf):
     """Similarity by matching blocks: no SQL for it; the tests hold it against brute force."""
     p = t(spark, sf, "part")
     th = lambda c: F.translate(F.lower(c), "abcdefghijklmnopqrstuvwxyz", "กขคฆงจฉชซญฎฏฐฑฒณดตถทธนบปผฝ")
-    alias = p.filter("p_partkey % 40 = 0").select(F.col("p_type").alias("concept"), th("p_type").alias("alias"), F.col("p_partkey").alias("ordinal"))
+    alias = p.groupBy("p_type").agg(F.min("p_partkey").alias("ordinal")).select(F.col("p_type").alias("concept"), th("p_type").alias("alias"), "ordinal")
     labels = p.select("p_partkey", F.concat(th("p_type"), F.lit("ก")).alias("label"))
     return matching.match(labels, alias, ["p_partkey"]).select("p_partkey", "concept", "match_score")
 

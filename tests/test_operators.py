@@ -191,3 +191,9 @@ def test_from_pages_to_verdicts(spark):
     assert found["TOTAL_ASSETS"] == (1_000_000.0, "thousand", "BS") and found["INVENTORY"][0] == 350_000.0 and len(found) == 5
     v = {(r["eq_id"], r["col"]): r["verdict"] for r in crosscheck(got).collect()}
     assert all(v[("assets", c)] == "pass" for c in ("con_cur", "con_prev", "sep_cur", "sep_prev"))
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no fixture tables here")
+def test_fuzzy_alias_knows_every_type(spark, duck):
+    got = {r["p_partkey"]: r["concept"] for r in catalog.QUERIES["fuzzy_alias"](spark, DATA).collect()}
+    assert got == dict(duck.execute("SELECT p_partkey, p_type FROM part").fetchall())
