@@ -197,3 +197,10 @@ def test_from_pages_to_verdicts(spark):
 def test_fuzzy_alias_knows_every_type(spark, duck):
     got = {r["p_partkey"]: r["concept"] for r in catalog.QUERIES["fuzzy_alias"](spark, DATA).collect()}
     assert got == dict(duck.execute("SELECT p_partkey, p_type FROM part").fetchall())
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no fixture tables here")
+def test_layout_lines_has_every_line_of_an_order(spark, duck):
+    got = sorted((r["l_orderkey"], r["label"], r["a"], r["b"]) for r in catalog.QUERIES["layout_lines"](spark, DATA).collect())
+    want = duck.execute("SELECT l_orderkey, l_partkey, l_extendedprice, l_quantity FROM lineitem").fetchall()
+    assert [(k, round(a), round(b)) for k, _, a, b in got] == [(k, round(a), round(b)) for k, _, a, b in sorted((k, f"item {p}", a, b) for k, p, a, b in want)]
