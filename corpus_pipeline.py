@@ -21,6 +21,8 @@ from tabulon.llm.suffix_dedup import suffix_dedup
 CACHE = 150_000
 #: Labelled text of each language; the stage only has to tell texts from what is none.
 SAMPLE_CHARS = 60_000
+#: Stands for the languages where no row has a label: all texts with a letter are of it.
+UNLABELLED = (("unlabelled", " "),)
 
 
 def ready(docs: DataFrame) -> DataFrame:
@@ -33,9 +35,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null text, no letters) go.
 
     Languages are learned from the bounded sample of labelled rows that the operator documents.
+    Where there is none, every text with a letter stays.
     """
     docs = ready(docs)
-    return identify(docs, learn(docs, chars=SAMPLE_CHARS), beside=("_language", "_score"), cache=CACHE).filter(F.col("_language") != NONE).select(docs.columns)
+    return identify(docs, learn(docs, chars=SAMPLE_CHARS) or UNLABELLED, beside=("_language", "_score"), cache=CACHE).filter(F.col("_language") != NONE).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,9 @@ def test_narrowed_to_characters():
     span = [{"first": 1, "last": 5}]
     assert corpus_pipeline.without("éaéb", span) == "é" + "b"
     assert corpus_pipeline.without("abcdefg", span) == "afg" and corpus_pipeline.without(None, None) is None
+
+
+def test_texts_stay_where_no_row_has_a_language(spark):
+    rows = [(1, "a text", None), (2, None, None), (3, "12 34", None), (4, "日本語", None), (None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["text"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {"a text", "日本語", "x"}
