@@ -44,12 +44,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least doc_id stays, and of repeated rows one.
 
-    Groups are named by ids: documents without one go.
+    Of a group in which no document has an id one stays, too: there, hashes of the texts stand for ids.
     """
     docs = ready(docs)
-    first = near_duplicates(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    groups = near_duplicates(docs)
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").select(docs.columns)
-    return kept.dropDuplicates(["doc_id", "text"]) if common.repeated(docs, "doc_id") else kept
+    kept = kept.dropDuplicates(["doc_id", "text"]) if common.repeated(docs, "doc_id") else kept
+    without_id = docs.filter(F.col("doc_id").isNull())
+    if without_id.isEmpty():
+        return kept
+    nameless = groups.filter("doc_id IS NULL AND component_id IS NULL").select("fingerprint").distinct()
+    own = near_duplicates(by_text(without_id)).filter(F.col("doc_id") == F.col("component_id")).join(nameless, "fingerprint", "left_semi").select(F.col("doc_id").alias("_key"))
+    return kept.unionByName(without_id.join(own.distinct(), F.xxhash64("text") == F.col("_key"), "left_semi").dropDuplicates(["text"]))
+
+
+def by_text(docs: DataFrame) -> DataFrame:
+    """docs with a hash of the text as doc_id, for operators that tell rows by it."""
+    return docs.withColumn("doc_id", F.xxhash64("text"))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,8 +100,14 @@ def without(text: str | None, spans: list | None) -> str | None:
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule holds for go."""
     docs = ready(docs)
-    bad = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter(contaminated()).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    bad = contamination(docs, benchmark).filter(contaminated()).select("doc_id").distinct()
+    kept = docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    without_id = docs.filter(F.col("doc_id").isNull())
+    if without_id.isEmpty():
+        return kept
+    bad = contamination(by_text(without_id), benchmark).filter(contaminated()).select(F.col("doc_id").alias("_key")).distinct()
+    return kept.filter(F.col("doc_id").isNotNull()).unionByName(without_id.join(bad, F.xxhash64("text") == F.col("_key"), "left_anti"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

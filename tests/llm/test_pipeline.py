@@ -89,3 +89,15 @@ def test_texts_stay_where_no_row_has_a_language(spark):
     rows = [(1, "a text", None), (2, None, None), (3, "12 34", None), (4, "日本語", None), (None, "x", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r["text"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {"a text", "日本語", "x"}
+
+
+def test_documents_without_an_id(spark, tmp_path):
+    texts = [" ".join(f"{w}{i}" for i in range(40)) for w in ("ab", "cd", "ef")]
+    rows = [(1, texts[0]), (2, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    want = [(1, texts[0]), (None, texts[1]), (None, texts[2])]
+    assert sorted(map(tuple, kept.collect()), key=lambda r: r[1]) == want
+    spark.createDataFrame([(0, texts[2])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = corpus_pipeline.benchmark_decontamination(spark, spark.createDataFrame(want, docs.schema), str(tmp_path))
+    assert sorted(map(tuple, clean.collect()), key=lambda r: r[1]) == want[:2]
