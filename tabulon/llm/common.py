@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
+import gc
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,21 +14,20 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tabulon.session import small_batches, work_path
+
 _scratch: list[str] = []
 
 
 def partitions(spark: SparkSession) -> int:
-    """Shuffle partitions of the session; every exchange here is sized by it."""
+    """Shuffle partitions of the session; every exchange here is sized by it. Sets the bound on batches for Python, which operators call this before."""
+    small_batches(spark)
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = f"file://{tempfile.mkdtemp(prefix='tabulon-')}"
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on one machine, one of our own where it is unset."""
+    return work_path(spark, "x").rpartition("/")[0]
 
 
 def scratch(spark: SparkSession) -> str:
@@ -61,6 +61,18 @@ def repeated(df: DataFrame, key: str) -> bool:
     return df.groupBy(key).count().filter("count > 1").limit(1).count() > 0
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keyed(docs: DataFrame, *columns: str, key: str = "doc_id") -> DataFrame:
     """docs as (doc_id, sub, *columns): sub numbers the rows that share a doc_id, in order of their texts; 0 for all others.
 
@@ -94,13 +106,21 @@ def bucket_of(doc: np.ndarray, n: int) -> np.ndarray:
 _held: dict = {}
 
 
+def trim() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def held(key, make):
     """make() once for a key in this process. A worker serves one operator after the other: what another key held goes first."""
     if key not in _held:
         if _held:
             _held.clear()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            gc.enable()
+            gc.collect()
+            trim()
         _held[key] = make()
     return _held[key]
 
@@ -110,6 +130,33 @@ def let_go() -> None:
     held(None, lambda: None)
 
 
+def tidy(f, keep: bool = True):
+    """A function for mapInArrow that, when its task ends, leaves no memory in the worker but what held() keeps; without keep not even that.
+
+    Workers live on, idle, beside the next stages, and count as the executor's memory there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keep:
+            let_go()
+        try:
+            yield from f(batches)
+        finally:
+            trim()
+
+    return run
+
+
+def cut(batch: pa.RecordBatch, text: int, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """A batch in slices with about `size` bytes of text each, or one longer text."""
+    _, offsets = text_bytes(batch.column(text))
+    i, n = 0, batch.num_rows
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 NULL_ID = -(1 << 63)
 
 

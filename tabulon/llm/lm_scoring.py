@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, ids_of, pack, partitions, stored, text_bytes, unpack
+from tabulon.llm.common import NULL_ID, ids_of, pack, partitions, stored, text_bytes, tidy, unpack
 from tabulon.llm.encoding import encoder
 from tabulon.llm.language_id import remainder
 from tabulon.llm.repeats import word_symbols
@@ -285,7 +285,7 @@ def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def summed(pieces: DataFrame) -> tuple[float, np.ndarray | None]:
     """Sum of the weights, and the weighted sum of all vectors; the driver only gets the sums."""
-    got = sorted((r["piece"], r["weight"], r["data"]) for r in pieces.repartition(PIECES, "piece").mapInArrow(added, PARTS).toLocalIterator())
+    got = sorted((r["piece"], r["weight"], r["data"]) for r in pieces.repartition(PIECES, "piece").mapInArrow(tidy(added), PARTS).toLocalIterator())
     return (got[0][1], np.concatenate([unpack(x)[0] for _, _, x in got])) if got else (0.0, None)
 
 
@@ -316,7 +316,7 @@ def windows(e, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarr
 def trained(training: DataFrame, file: str) -> tuple:
     """The model as plain arrays, from all training rows."""
     spark = training.sparkSession
-    _, counts = summed(training.select("text").mapInArrow(counted(file), PARTS))
+    _, counts = summed(training.select("text").mapInArrow(tidy(counted(file)), PARTS))
     if counts is None:
         counts = np.zeros(encoder(file).tokenizer.get_vocab_size())
     total = int(counts.sum())
@@ -341,7 +341,7 @@ def trained(training: DataFrame, file: str) -> tuple:
             if done:
                 yield from in_pieces(np.concatenate([own.w[k].ravel() for k in names]), done)
 
-        weight, flat = summed(training.filter(of == r).select("text").coalesce(tasks).mapInArrow(fit, PARTS))
+        weight, flat = summed(training.filter(of == r).select("text").coalesce(tasks).mapInArrow(tidy(fit), PARTS))
         given.unpersist()
         if flat is not None:
             model.w = {k: x.reshape(s) for k, x, s in zip(names, np.split((flat / weight).astype(F4), cuts), shapes, strict=True)}
@@ -534,14 +534,14 @@ def score(docs: DataFrame, file: str) -> DataFrame:
     n = partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("held_out").cast("boolean").alias("held_out"), F.col("text").cast("string").alias("text"))
     model = spark.sparkContext.broadcast(trained(rows.filter(~F.col("held_out")).select("doc_id", "text"), file))
-    blocks = stored(rows.mapInArrow(spelled(model, file, 2 * n), BLOCKS))
-    answers = stored(blocks.filter(F.col("kind") == ASKED).repartition(n, "bucket").mapInArrow(answer, BLOCKS))
+    blocks = stored(rows.mapInArrow(tidy(spelled(model, file, 2 * n)), BLOCKS))
+    answers = stored(blocks.filter(F.col("kind") == ASKED).repartition(n, "bucket").mapInArrow(tidy(answer), BLOCKS))
     totals = [unpack(r["data"])[0] for r in blocks.filter(F.col("kind") == TOTALS).select("data").toLocalIterator()]
     n_words, n_ends = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
     types = sum(int(unpack(r["data"])[0][0]) for r in answers.filter(F.col("kind") == TOTALS).select("data").toLocalIterator())
     parts = blocks.filter(F.col("kind") == DOCS).union(answers.filter(F.col("kind") == ANSWERED)).repartition(n, "block")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return parts.mapInArrow(combined(n_words + n_ends, n_ends, types + (n_ends > 0)), schema)
+    return parts.mapInArrow(tidy(combined(n_words + n_ends, n_ends, types + (n_ends > 0))), schema)
 
 
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:

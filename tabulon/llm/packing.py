@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, ids_of, pack, stored, unpack
+from tabulon.llm.common import NULL_ID, ids_of, pack, stored, tidy, unpack
 from tabulon.llm.encoding import CACHE, encoder
 
 PART_IDS = 1 << 21
@@ -62,7 +62,7 @@ def parts(docs: DataFrame, file: str, end: int | None, columns: tuple[str, str,
 
     doc, source, text = columns
     slim = docs.select(F.col(doc).cast("long"), F.col(source).cast("string"), text)
-    return slim.mapInArrow(encode, "task int, seq int, sources array<string>, counts array<long>, block binary")
+    return slim.mapInArrow(tidy(encode), "task int, seq int, sources array<string>, counts array<long>, block binary")
 
 
 def fill(sizes: list[int], shares: np.ndarray, owed: np.ndarray, left: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
@@ -138,7 +138,7 @@ def pieces(docs: DataFrame, file: str, length: int = 4096, end: int | None = 2,
             for row in batch.to_pylist():
                 yield packed(row, length, ids)
 
-    return ready.mapInArrow(put, PIECE if ids else PIECE.rpartition(",")[0])
+    return ready.mapInArrow(tidy(put, keep=False), PIECE if ids else PIECE.rpartition(",")[0])
 
 
 def packed(row: dict, length: int, with_ids: bool) -> pa.RecordBatch:

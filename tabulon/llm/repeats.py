@@ -25,14 +25,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, ids_of, keyed, let_go, pack, partitions, stored, text_bytes, unpack
+from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
 
 GROUP = 1 << 20
 FLUSH = 1 << 21
@@ -193,7 +193,6 @@ def map_anchors(windows: Windows, n: int, n_docs: int):
     """Step 1, with n buckets of k-grams and n_docs buckets of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         held: list[tuple] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -222,7 +221,6 @@ def map_anchors(windows: Windows, n: int, n_docs: int):
 
 
 def gathered(batches: Iterator[pa.RecordBatch]) -> dict[int, list[bytes]]:
-    let_go()
     out: dict[int, list[bytes]] = {}
     for batch in batches:
         for kind, block in zip(batch.column("kind").to_pylist(), batch.column("block"), strict=True):
@@ -267,6 +265,8 @@ def contexts_of(windows: Windows, n: int, emit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, found = split(batches)
         if OPEN not in found:
+            for _ in texts:
+                pass
             return
         doc, pos, h = columns_of(found[OPEN])
         order = np.lexsort((pos, doc))
@@ -286,16 +286,20 @@ def contexts_of(windows: Windows, n: int, emit):
     return run
 
 
-def split(batches: Iterator[pa.RecordBatch]) -> tuple[list[pa.RecordBatch], dict[int, list[bytes]]]:
-    let_go()
-    texts, found = [], {}
+def split(batches: Iterator[pa.RecordBatch]) -> tuple[Iterator[pa.RecordBatch], dict[int, list[bytes]]]:
+    """A partition's blocks, which come first, and the texts behind them as they come."""
+    found: dict[int, list[bytes]] = {}
+    batches = iter(batches)
+    first = None
     for batch in batches:
         kind = batch.column("kind").to_numpy()
-        if (kind == TEXT).any():
-            texts.append(batch.filter(pa.array(kind == TEXT)) if (kind != TEXT).any() else batch)
-        for at in np.flatnonzero(kind != TEXT).tolist():
-            found.setdefault(int(kind[at]), []).append(batch.column("block")[at].as_py())
-    return texts, found
+        n = int(np.searchsorted(kind, TEXT))
+        for k, block in zip(kind[:n].tolist(), batch.column("block")[:n], strict=True):
+            found.setdefault(k, []).append(block.as_py())
+        if n < len(kind):
+            first = batch.slice(n)
+            break
+    return (x for x in chain([first] if first is not None else [], batches)), found
 
 
 def ranges(doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, sub: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -368,21 +372,21 @@ def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool
     """
     n = partitions(docs.sparkSession)
     rows = keyed(docs.withColumnRenamed(id_column, "doc_id") if id_column != "doc_id" else docs, text_column).withColumnRenamed(text_column, "text")
-    anchors = rows.mapInArrow(map_anchors(windows, history[2] if history else 4 * n, 4 * n), BLOCKS)
+    anchors = rows.mapInArrow(tidy(map_anchors(windows, history[2] if history else 4 * n, 4 * n), keep=False), BLOCKS)
     if history:
         anchors = anchors.union(history[0])
-    found = stored(anchors.repartition(n, "bucket").mapInArrow(resolve_anchors(windows, 4 * n, index), BLOCKS))
+    found = stored(anchors.repartition(n, "bucket").mapInArrow(tidy(resolve_anchors(windows, 4 * n, index), keep=False), BLOCKS))
 
     def as_texts(df: DataFrame) -> DataFrame:
         return df.select(bucket_column("doc_id", 4 * n).alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("block"), "doc_id", "sub", "text")
 
     def beside(blocks_: DataFrame, texts: DataFrame) -> DataFrame:
         wide = blocks_.select("bucket", "kind", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("sub"), F.lit(None).cast("string").alias("text"))
-        return texts.union(wide).repartition(n, "bucket")
+        return texts.union(wide).repartition(n, "bucket").sortWithinPartitions("kind")
 
     texts = as_texts(rows)
     every = texts.union(as_texts(history[1])) if history else texts
-    contexts = beside(found.filter(F.col("kind") == OPEN), every).mapInArrow(contexts_of(windows, n, emit), BLOCKS)
-    compared = stored(contexts.repartition(n, "bucket").mapInArrow(compare, BLOCKS))
+    contexts = beside(found.filter(F.col("kind") == OPEN), every).mapInArrow(tidy(contexts_of(windows, n, emit), keep=False), BLOCKS)
+    compared = stored(contexts.repartition(n, "bucket").mapInArrow(tidy(compare, keep=False), BLOCKS))
     schema = "doc_id long, sub int, n long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<struct<first: long, last: long>>, kept binary" * with_text
-    return beside(found.filter(F.col("kind") == SETTLED).union(compared), texts).mapInArrow(finish(windows, words, with_text), schema)
+    return beside(found.filter(F.col("kind") == SETTLED).union(compared), texts).mapInArrow(tidy(finish(windows, words, with_text), keep=False), schema)

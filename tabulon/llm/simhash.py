@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import let_go, partitions, stored
+from tabulon.llm.common import partitions, stored, tidy
 from tabulon.llm.components import components
 
 SEGMENTS, BITS = 16, 64
@@ -46,12 +46,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", t
     """(doc_id, fp): each row's fingerprint as a signed long."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(compute, "doc_id long, fp long")
+    return docs.select(F.col(id_column).cast("long"), text_column).mapInArrow(tidy(compute, keep=False), "doc_id long, fp long")
 
 
 def rotated(fp: np.ndarray, start: int) -> np.ndarray:
@@ -131,7 +130,6 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp.view(np.int64))], names=["key", "fp"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         got = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if len(b)]
         if not got:
             return
@@ -155,7 +153,7 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
     n = partitions(distinct.sparkSession)
-    return distinct.select("fp").mapInArrow(file, "key long, fp long").repartition(n, "key").mapInArrow(pair, "a long, b long").distinct()
+    return distinct.select("fp").mapInArrow(tidy(file, keep=False), "key long, fp long").repartition(n, "key").mapInArrow(tidy(pair, keep=False), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

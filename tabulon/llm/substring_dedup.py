@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bucket_of, keyed, partitions, stored
+from tabulon.llm.common import bucket_of, keyed, partitions, stored, tidy
 from tabulon.llm.repeats import ANCHORS, BLOCKS, COMPARED, OPEN, Windows, blocks, columns_of, gathered, map_anchors, one_block, repeats, runs, word_symbols
 
 WINDOW, GRAM = 20, 6
@@ -221,7 +221,7 @@ class SubstringIndex:
             raise ValueError(f"ids of a new batch must lie above {most}")
         at = len(self._folders("texts"))
         result = stored(repeats(docs, windows, index, emitter(windows, n), comparer(windows, n), True, with_text, history=(self._read(self._folders("runs"), BLOCKS), old, self.buckets)))
-        new = rows.mapInArrow(map_anchors(windows, self.buckets, 4 * n), BLOCKS).filter(F.col("kind") == ANCHORS)
+        new = rows.mapInArrow(tidy(map_anchors(windows, self.buckets, 4 * n), keep=False), BLOCKS).filter(F.col("kind") == ANCHORS)
         new.write.mode("overwrite").parquet(f"{self.path}/runs/{at:08d}")
         rows.write.mode("overwrite").parquet(f"{self.path}/texts/{at:08d}")
         if len(self._folders("runs")) >= FANOUT:
@@ -242,7 +242,7 @@ class SubstringIndex:
 
         several = self._folders("runs")
         target = several[-1] + "c"
-        self._read(several, BLOCKS).repartition(partitions(self.spark), "bucket").mapInArrow(merge, BLOCKS).write.mode("overwrite").parquet(f"{self.path}/{target}")
+        self._read(several, BLOCKS).repartition(partitions(self.spark), "bucket").mapInArrow(tidy(merge, keep=False), BLOCKS).write.mode("overwrite").parquet(f"{self.path}/{target}")
         for name in several:
             p, fs = self._hadoop(name)
             fs.delete(p, True)

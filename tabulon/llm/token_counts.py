@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tabulon.llm.common import held
+from tabulon.llm.common import held, tidy
 
 CACHE = 400_000
 
@@ -113,7 +113,7 @@ def token_counts(docs: DataFrame, model_file: str, id_column: str = "doc_id", te
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in (words, tokens, unknown))], names=[id_column, "n_words", "n_tokens", "n_unknown"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text_column).mapInArrow(count, f"`{id_column}` {kind}, n_words long, n_tokens long, n_unknown long")
+    return docs.select(id_column, text_column).mapInArrow(tidy(count), f"`{id_column}` {kind}, n_words long, n_tokens long, n_unknown long")
 
 
 def op1_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, ids_of, partitions, scratch
+from tabulon.llm.common import NULL_ID, ids_of, partitions, scratch, tidy
 from tabulon.llm.encoding import encoder
 
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8000, 1 << 16
@@ -89,7 +89,7 @@ def write(docs: DataFrame, file: str, path: str, end: int | None = 0, id_column:
             yield flush()
 
     ordered = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInArrow(shards, SHARD).write.option("compression", "uncompressed").parquet(f"{path}/shards")
+    ordered.mapInArrow(tidy(shards), SHARD).write.option("compression", "uncompressed").parquet(f"{path}/shards")
 
 
 def frames_of(row: dict, dictionary: bytes, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, bytes]]:
@@ -124,7 +124,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 ids = [np.frombuffer(raw, f"<u{row['width']}") for _, _, raw in got]
                 yield pa.RecordBatch.from_arrays([pa.array([None if d == NULL_ID else d for d, _, _ in got], pa.int64()), pa.array([s + row["before"] for _, s, _ in got]), pa.array([x.tolist() for x in ids], pa.list_(pa.int64()))], names=["doc_id", "start", "ids"])
 
-    return shards.mapInArrow(expand, "doc_id long, start long, ids array<long>")
+    return shards.mapInArrow(tidy(expand, keep=False), "doc_id long, start long, ids array<long>")
 
 
 def lookup(spark: SparkSession, path: str, docs: list[int]) -> DataFrame:
@@ -139,7 +139,7 @@ def lookup(spark: SparkSession, path: str, docs: list[int]) -> DataFrame:
                 got = list(frames_of(row, dictionary, np.flatnonzero(np.isin(np.frombuffer(row["doc_ids"], "<i8"), asked))))
                 yield pa.RecordBatch.from_arrays([pa.array([d for d, _, _ in got], pa.int64()), pa.array([np.frombuffer(raw, f"<u{row['width']}").tolist() for _, _, raw in got], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return shards.filter(hit if asked else F.lit(False)).mapInArrow(expand, "doc_id long, ids array<long>")
+    return shards.filter(hit if asked else F.lit(False)).mapInArrow(tidy(expand, keep=False), "doc_id long, ids array<long>")
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
@@ -152,7 +152,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
                 rows = [(None if d == NULL_ID else d, s + row["before"], len(raw) // row["width"], zlib.crc32(np.frombuffer(raw, f"<u{row['width']}").astype("<u4").tobytes())) for d, s, raw in frames_of(row, dictionary)]
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.mapInArrow(expand, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.mapInArrow(tidy(expand, keep=False), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op4_token_files(spark, sf_dir: str) -> DataFrame:

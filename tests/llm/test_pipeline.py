@@ -91,6 +91,34 @@ def test_texts_stay_where_no_row_has_a_language(spark):
     assert {r["text"] for r in corpus_pipeline.language_id(spark, docs, "").collect()} == {"a text", "日本語", "x"}
 
 
+def test_language_is_renewed(spark):
+    rows = [(i, " ".join(("haus", "baum", "und")[(i + j) % 3] if i % 2 else ("tree", "with", "the")[(i + j) % 3] for j in range(30)), "de" if i % 2 else "en") for i in range(40)]
+    rows += [(40, "haus und baum und haus", None), (41, "the tree with the tree", "de"), (42, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert got == {i: "de" if i % 2 else "en" for i in range(40)} | {40: "de", 41: "en"}
+
+
+CLASH = ["sub", "spans", "rest", "language", "score", "kind", "block", "bucket", "fp", "node", "key", "hd", "ht", "h", "f", "n", "task", "seq", "component_id", "fingerprint", "a.b"]
+
+
+def test_stages_with_clashing_columns_repeated_rows_and_nulls(spark, tmp_path):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, text, "en"), (1, text, "en"), (2, text[:200] + " and more of it " * 3, None), (None, "a b c", None), (3, None, None), (4, "", "en"), (5, "x" * 30_000, None)]
+    docs = spark.createDataFrame([(*r, "s", len(r[1] or ""), *CLASH) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH))
+    spark.createDataFrame([(0, "nothing of the kind")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    none = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        last = name == "packing"
+        assert last or got.dtypes == docs.dtypes
+        assert got.count() == {"language_id": 5, "near_dedup": 5, "suffix_array_dedup": 4, "benchmark_decontamination": 7}.get(name, got.count())
+        if not last:
+            assert all(list(r)[5:] == CLASH for r in got.collect())
+        assert stage(spark, none, str(tmp_path)).count() == 0
+    assert {r["doc_id"] for r in corpus_pipeline.packing(spark, docs, str(tmp_path)).collect()} == {1, 2, 3, 4, 5, None}
+
+
 def test_documents_without_an_id(spark, tmp_path):
     texts = [" ".join(f"{w}{i}" for i in range(40)) for w in ("ab", "cd", "ef")]
     rows = [(1, texts[0]), (2, texts[0]), (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2])]

@@ -283,20 +283,44 @@ def test_language_id(spark):
     assert language_id.learn(df.filter("false")) == () and {r["lang_pred"] for r in language_id.identify(df, ()).collect()} == {"und"}
 
 
-def test_cross_parsing_counts_longest_matches():
-    a = language_id.SuffixAutomaton("abcabd")
-
-    def brute(t):
-        n, at = 0, 0
-        while at < len(t):
-            k = next((e for e in range(len(t), at, -1) if t[at:e] in "abcabd"), at + 1)
-            n, at = n + 1, k
-        return n
-
+def phrase_count(text, labelled, stretch):
+    """Greedy longest matches, ended after every stretch of characters; a character that never occurs is one of its own."""
+    n = 0
+    for i in range(0, len(text), stretch):
+        part, at = text[i : i + stretch], 0
+        while at < len(part):
+            at = next((e for e in range(len(part), at, -1) if part[at:e] in labelled), at + 1)
+            n += 1
+    return n
+
+
+def test_cross_parsing_counts_longest_matches(monkeypatch):
+    labelled = "abcabd", "bbxa a"
+    p = language_id.Parser(tuple(zip("xy", labelled, strict=True)))
     rng = random.Random(4)
-    for _ in range(300):
-        t = "".join(rng.choice("abcdx") for _ in range(rng.randint(0, 12)))
-        assert a.phrases(t) == brute(t)
+    texts = ["".join(rng.choice("abcdxz ") for _ in range(rng.randint(0, 40))) for _ in range(500)]
+    points, sizes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32), np.array([len(t) for t in texts])
+    for stretch, lanes in ((4096, 1024), (7, 13)):
+        monkeypatch.setattr(language_id, "STRETCH", stretch)
+        monkeypatch.setattr(language_id, "LANES", lanes)
+        assert p.phrases(points, sizes).tolist() == [[phrase_count(t, x, stretch) for x in labelled] for t in texts]
+
+
+def test_predictions_are_those_of_a_plain_cross_parser(docs):
+    import math
+
+    learned = language_id.learn(docs.filter("doc_id % 2 = 0"), chars=600)
+    assert len(learned) == 2 and all(" " in text.strip() for _, text in learned)  # phrases can span words
+    got = {r["doc_id"]: r for r in language_id.identify(docs, learned).collect()}
+    assert len(got) == len(corpus())
+    for i, t in corpus():
+        if not any(c.isalpha() for c in t or ""):
+            assert (got[i]["lang_pred"], got[i]["score"]) == ("und", 0.0)
+            continue
+        parsed = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+        need = [phrase_count(parsed, x, 4096) * math.log2(len(x) + 2) for _, x in learned]
+        best, second = sorted(need)
+        assert got[i]["lang_pred"] == learned[need.index(best)][0] and got[i]["score"] == pytest.approx(second / (best + second))
 
 
 def test_lm_scoring(docs):
