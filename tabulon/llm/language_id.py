@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tabulon.llm.common import cut, held, tidy
+from tabulon.llm.common import cut, tidy
 
 #: Bounds of the labelled sample, for each language: rows, and characters in all.
 SAMPLE_ROWS, SAMPLE_CHARS = 300, 120_000
-STRETCH, LANES, GROUP = 4096, 1024, 1 << 21
+STRETCH, LANES, GROUP = 4096, 1024, 1 << 20
 NONE = "und"
 
 
@@ -117,7 +117,9 @@ class Parser:
         one = 1 << self.STATE
         self.start = np.zeros(len(samples), np.int64)
         only, to, row, dense, base, rows = [], [], [], [], 0, 0
+        go: list[dict[str, int]] = []
         for n, (_, text) in enumerate(samples):
+            go.clear()  # the last one's, before the next is built
             go = SuffixAutomaton(text).go
             self.start[n] = base
             again = np.full(width, 2 * one + base, np.int32)  # after a match that ends
@@ -199,10 +201,6 @@ class Parser:
         return out
 
 
-def parser(samples: tuple[tuple[str, str], ...]) -> Parser:
-    return held(("parser", samples), lambda: Parser(samples))
-
-
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> tuple[tuple[str, str], ...]:
     """((language, text), ...) from labelled(doc_id, text, lang): a sample with bounds on rows and characters of each language.
 
@@ -236,10 +234,13 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: s
     part. An empty table has no rows.
     """
 
+    # a bounded sample makes bounded tables, which are built once and not in every worker
+    tables = docs.sparkSession.sparkContext.broadcast(Parser(samples))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = parser(samples)
+        p = tables.value
         for whole in batches:
-            for batch in cut(whole, at):
+            for batch in cut(whole, at, GROUP):
                 got = p.predict(batch.column(at).to_pylist())
                 mine = [pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())]
                 if beside:
@@ -249,8 +250,8 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: s
 
     at = docs.columns.index(text_column) if beside else 1
     if beside:
-        return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(beside[0], StringType()), StructField(beside[1], DoubleType())]))
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
+        return docs.mapInArrow(tidy(run, keep=False), StructType([*docs.schema.fields, StructField(beside[0], StringType()), StructField(beside[1], DoubleType())]))
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(tidy(run, keep=False), "doc_id long, lang_pred string, score double")
 
 
 def remainder(column: str, n: int):

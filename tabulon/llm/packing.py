@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import NULL_ID, ids_of, pack, stored, tidy, unpack
 from tabulon.llm.encoding import CACHE, encoder
+from tabulon.session import small_batches
 
 PART_IDS = 1 << 21
 PIECE = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -31,37 +32,38 @@ def parts(docs: DataFrame, file: str, end: int | None, columns: tuple[str, str,
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(file, cache)
-        last = b"" if end is None else np.array([end], e.dtype).tobytes()
+        last = np.array([] if end is None else [end], e.dtype)
         task = TaskContext.get().partitionId()
-        seq = held = 0
-        docs_, sources, lengths, raws, names = [], [], [], [], {}
+        seq = size = 0
+        held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, held
-            n, s = np.array(lengths, np.int64), np.array(sources, np.int32)
-            block = pack(np.array(docs_, np.int64), s, n, np.frombuffer(b"".join(raws), e.dtype))
-            counts = np.bincount(s, weights=n, minlength=len(names)).astype(np.int64)
-            out = pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([seq], pa.int32()), pa.array([list(names)], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([block], pa.binary())], names=["task", "seq", "sources", "counts", "block"])
-            seq, held = seq + 1, 0
-            for x in (docs_, sources, lengths, raws, names):
-                x.clear()
+            nonlocal seq, size
+            docs_, names, n, ids = (np.concatenate([h[k] for h in held]) for k in range(4))
+            held.clear()
+            known: dict = {}
+            s = np.array([known.setdefault(x, len(known)) for x in names.tolist()], np.int32)
+            counts = np.bincount(s, weights=n, minlength=len(known)).astype(np.int64)
+            out = pa.RecordBatch.from_arrays([pa.array([task], pa.int32()), pa.array([seq], pa.int32()), pa.array([list(known)], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([pack(docs_, s, n, ids)], pa.binary())], names=["task", "seq", "sources", "counts", "block"])
+            seq, size = seq + 1, 0
             return out
 
         for batch in batches:
-            for doc, source, raw in zip(ids_of(batch.column(0)).tolist(), batch.column(1).to_pylist(), e.encode(t.as_py() for t in batch.column(2)), strict=True):
-                raw += last
-                docs_.append(doc)
-                sources.append(names.setdefault(source, len(names)))
-                lengths.append(len(raw) // e.dtype.itemsize)
-                raws.append(raw)
-                held += lengths[-1]
-                if held >= PART_IDS:
+            docs_, names, at = ids_of(batch.column(0)), np.array(batch.column(1).to_pylist(), object), 0
+            for ids, bounds in e.column(batch.column(2)):
+                n = np.diff(bounds)
+                to = at + len(n)
+                held.append((docs_[at:to], names[at:to], n + len(last), np.insert(ids, np.repeat(bounds[1:], len(last)), last[0]) if len(last) else ids))
+                size += len(held[-1][3])
+                at = to
+                if size >= PART_IDS:
                     yield flush()
-        if docs_:
+        if held:
             yield flush()
 
     doc, source, text = columns
-    slim = docs.select(F.col(doc).cast("long"), F.col(source).cast("string"), text)
+    small_batches(docs.sparkSession)
+    slim = docs.select(F.col(doc).cast("long"), F.col(source).cast("string"), F.col(text).cast("string"))
     return slim.mapInArrow(tidy(encode), "task int, seq int, sources array<string>, counts array<long>, block binary")
 
 

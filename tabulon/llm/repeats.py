@@ -8,11 +8,12 @@ Every window has an anchor, the position of the least hash among its k-grams.
 Equal windows have their anchors at equal places, so windows need only be
 compared around equal anchors:
 
-1. Map: anchors of whole texts with a hash of the k-gram and one of the whole
-   context (the symbols that any window over the anchor can reach). Equal
-   contexts within a task are settled there: all but the first are repeats.
-2. Index: by k-gram, anchors that occur once drop out, equal contexts are
-   settled as in 1, and anchors whose k-gram has several contexts stay open.
+1. Map: anchors of whole texts with a hash of the k-gram and, for words, one of
+   the whole context (the symbols that any window over the anchor can reach).
+   Equal contexts within a task are settled there: all but the first are repeats.
+2. Index: by k-gram, anchors that occur once drop out. For words, equal contexts
+   are settled as in 1, and anchors whose k-gram has several contexts stay
+   open; for bytes all stay open.
 3. Open anchors fetch their contexts from the texts and are compared exactly.
 4. The settled and compared ranges meet the texts.
 
@@ -106,6 +107,7 @@ class Windows:
     length: int
     k: int
     symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+    contexts: bool = True  # whether anchors have a hash of their context
 
     @property
     def reach(self) -> int:
@@ -135,6 +137,8 @@ class Windows:
         most = sliding(np.concatenate((np.zeros(length - k, np.uint64), least, np.zeros(length - k, np.uint64))), length - k + 1, np.maximum)
         at = np.flatnonzero(most[: len(h)] == h)
         doc = np.searchsorted(offsets, at, "right") - 1
+        if not self.contexts:
+            return doc, at - offsets[doc], h[at], h[:0]
         lo, hi = np.maximum(at - self.reach, offsets[doc]), np.minimum(at + length, offsets[doc + 1])
         context = span_hash(p, lo, hi) + (at - lo).astype(np.uint64)
         return doc, at - offsets[doc], h[at], context
@@ -189,8 +193,8 @@ def settle(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarra
     return ~new & ~same, new
 
 
-def map_anchors(windows: Windows, n: int, n_docs: int):
-    """Step 1, with n buckets of k-grams and n_docs buckets of documents."""
+def map_anchors(windows: Windows, n: int, n_docs: int, settled: bool = True):
+    """Step 1, with n buckets of k-grams and n_docs buckets of documents; without settling, anchors go on without a hash of their context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -198,6 +202,11 @@ def map_anchors(windows: Windows, n: int, n_docs: int):
         def flush() -> Iterator[pa.RecordBatch]:
             doc, pos, h, c = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
+            bucket = (h >> np.uint64(8)).astype(np.int64) % n
+            if not settled:
+                order = np.lexsort((pos, doc, bucket))
+                yield blocks(ANCHORS, bucket[order], h[order], doc[order], pos[order])
+                return
             order = np.lexsort((pos, doc, c, h))
             doc, pos, h, c = doc[order], pos[order], h[order], c[order]
             repeat, first = settle(h, c, doc, pos)
@@ -249,20 +258,11 @@ def resolve_anchors(windows: Windows, n: int, index):
     return run
 
 
-def judge(key: np.ndarray, context: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For rows of any order: the order by (key, context, doc, pos), and in it the repeats and the rows that stay open."""
-    order = np.lexsort((pos, doc, context, key))
-    key, context, doc, pos = key[order], context[order], doc[order], pos[order]
-    repeat, first = settle(key, context, doc, pos)
-    group = np.cumsum(runs(key)) - 1
-    several = np.bincount(group, weights=first) > 1 if len(group) else np.zeros(0, bool)
-    return order, repeat, first & several[group]
-
-
-def contexts_of(windows: Windows, n: int, emit):
-    """Step 3a: the open anchors of each document with their contexts, as emit() packs them by bucket of their k-grams."""
+def contexts_of(windows: Windows, n: int, make):
+    """Step 3a: the open anchors of each document with their contexts, as make()() packs them by bucket of their k-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        emit = make()
         texts, found = split(batches)
         if OPEN not in found:
             for _ in texts:
@@ -282,6 +282,8 @@ def contexts_of(windows: Windows, n: int, emit):
                 cut = [data[offsets[i] : offsets[i + 1]] for i in part]
                 off = np.cumsum([0, *map(len, cut)])
                 yield from emit(np.concatenate(cut), off, which, pos[rows] & ((1 << SUB) - 1), h[rows], doc[rows], pos[rows])
+        if hasattr(emit, "flush"):
+            yield from emit.flush()
 
     return run
 
@@ -362,17 +364,17 @@ def finish(windows: Windows, words: bool, with_text: bool):
     return run
 
 
-def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text", history: tuple[DataFrame, DataFrame, int] | None = None) -> DataFrame:
+def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text", history: tuple[DataFrame, DataFrame, int] | None = None, settled: bool = True) -> DataFrame:
     """(doc_id, sub, n, n_removed, n_spans, kept_sha256[, spans, kept]) for each row of docs.
 
     index(blocks) -> (hashes, docs, positions, repeats, open) for step 2;
-    emit and compare pack the contexts of open anchors and decide on them.
+    what emit() makes packs the contexts of open anchors, compare decides on them.
     history: blocks of anchors and the texts (doc_id, sub, text) of earlier
     documents, and the number of buckets of those blocks.
     """
     n = partitions(docs.sparkSession)
     rows = keyed(docs.withColumnRenamed(id_column, "doc_id") if id_column != "doc_id" else docs, text_column).withColumnRenamed(text_column, "text")
-    anchors = rows.mapInArrow(tidy(map_anchors(windows, history[2] if history else 4 * n, 4 * n), keep=False), BLOCKS)
+    anchors = rows.mapInArrow(tidy(map_anchors(windows, history[2] if history else 4 * n, 4 * n, settled), keep=False), BLOCKS)
     if history:
         anchors = anchors.union(history[0])
     found = stored(anchors.repartition(n, "bucket").mapInArrow(tidy(resolve_anchors(windows, 4 * n, index), keep=False), BLOCKS))

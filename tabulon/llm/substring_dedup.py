@@ -8,14 +8,18 @@ itself, and runs of like size are compacted into one.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import bucket_of, keyed, partitions, stored, tidy
+from tabulon.llm.common import NULL_ID, bucket_of, keyed, partitions, stored, tidy, unpack
 from tabulon.llm.repeats import ANCHORS, BLOCKS, COMPARED, OPEN, Windows, blocks, columns_of, gathered, map_anchors, one_block, repeats, runs, word_symbols
 
 WINDOW, GRAM = 20, 6
@@ -172,80 +176,139 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     """
     n = partitions(docs.sparkSession)
     windows = Windows(window, min(GRAM, window), word_symbols)
-    return repeats(docs, windows, index, emitter(windows, n), comparer(windows, n), True, with_text, id_column, text_column)
+    return repeats(docs, windows, index, lambda: emitter(windows, n), comparer(windows, n), True, with_text, id_column, text_column)
 
 
 class SubstringIndex:
     """The fingerprint index in a folder, for corpora that grow batch by batch.
 
-    The folder holds a run of fingerprints and the texts of each batch. A batch
-    is judged against all batches before it and within itself; its ids must lie
-    above all earlier ones. FANOUT runs are compacted into one, in which each
-    fingerprint and context stands once. A batch that broke off leaves a run
-    without a mark of success, which the next ingest replaces.
+    A run is a table of fingerprints (key, context, doc, pos), bucketed and
+    sorted by key, that is never changed. A batch is judged against all batches
+    before it and within itself: its fingerprints are merge-joined with each run
+    where it lies, so that of the history only the rows that meet are moved, and
+    only texts of their documents are read again. Then it becomes a run itself;
+    FANOUT runs of a level are compacted into one of the next, in which each
+    fingerprint and context stands once. Ids of a batch must lie above all
+    earlier ones. What belongs to the index is told by its latest commit, one
+    file that is renamed into place when all else is written: a batch that broke
+    off leaves nothing that counts.
     """
 
+    RUN = "key long, context long, doc long, pos long"
+    TEXTS = "doc_id long, sub int, text string"
+
     def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, buckets: int | None = None):
         self.spark, self.path, self.window = spark, path.rstrip("/"), window
-        if not self._done("meta"):
-            spark.createDataFrame([(window, buckets or 4 * partitions(spark))], "window int, buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/meta")
-        meta = spark.read.parquet(f"{self.path}/meta").first()
-        if meta["window"] != window:
-            raise ValueError(f"the index was made for windows of {meta['window']} words")
-        self.buckets = meta["buckets"]
+        state = self.state()
+        if state is None:
+            state = {"window": window, "buckets": buckets or 4 * partitions(spark), "most": None, "runs": [], "texts": []}
+            self._commit(state, 0)
+        if state["window"] != window:
+            raise ValueError(f"the index was made for windows of {state['window']} words")
+        self.buckets = state["buckets"]
 
     def _hadoop(self, name: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _done(self, name: str) -> bool:
-        p, fs = self._hadoop(f"{name}/_SUCCESS")
-        return fs.exists(p)
-
-    def _folders(self, name: str) -> list[str]:
-        p, fs = self._hadoop(name)
-        found = sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-        return [f"{name}/{x}" for x in found if self._done(f"{name}/{x}")]
-
-    def _read(self, names: list[str], schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(*(f"{self.path}/{x}" for x in names)) if names else self.spark.createDataFrame([], schema)
+    def _commits(self) -> list[str]:
+        p, fs = self._hadoop("commits")
+        return sorted(f.getPath().getName() for f in fs.listStatus(p) if not f.getPath().getName().startswith(".")) if fs.exists(p) else []
+
+    def state(self) -> dict | None:
+        """What the latest commit says: runs as [level, name], names of texts, the largest id."""
+        done = self._commits()
+        return json.loads(self.spark.read.text(f"{self.path}/commits/{done[-1]}", wholetext=True).first()[0]) if done else None
+
+    def _commit(self, state: dict, number: int) -> None:
+        new, fs = self._hadoop(f"commits/.{uuid.uuid4().hex}")
+        out = fs.create(new, False)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        if not fs.rename(new, self._hadoop(f"commits/{number:08d}")[0]):
+            raise RuntimeError("another batch was committed meanwhile")
+
+    def _run(self, name: str) -> DataFrame:
+        """A run as a bucketed table."""
+        table = f"tabulon_{hashlib.sha256(f'{self.path}/{name}'.encode()).hexdigest()[:24]}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({self.RUN}) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+        return self.spark.table(table)
+
+    def _write(self, rows: DataFrame) -> str:
+        """rows as a new run: the first place of each key and context."""
+        name = f"run-{uuid.uuid4().hex}"
+        first = rows.groupBy("key", "context").agg(F.min(F.struct("doc", "pos")).alias("f")).select("key", "context", "f.*")
+        table = f"tabulon_{uuid.uuid4().hex}"
+        first.repartition(self.buckets, "key").write.bucketBy(self.buckets, "key").sortBy("key").option("path", f"{self.path}/{name}").saveAsTable(table)
+        self.spark.sql(f"DROP TABLE {table}")  # its files stay
+        return name
+
+    def _met(self, keys: DataFrame, runs_: list[str]) -> DataFrame | None:
+        """Rows of the runs whose key is among a batch's."""
+        found = [self._run(r).hint("merge").join(keys.hint("merge"), "key", "left_semi") for r in runs_]
+        return reduce(DataFrame.union, found) if found else None
 
     def ingest(self, docs: DataFrame, with_text: bool = False) -> DataFrame:
         """substring_dedup() of a new batch, judged after all batches before it, which becomes part of the index."""
+        number, state = len(self._commits()), self.state()
         n = partitions(self.spark)
         windows = Windows(self.window, min(GRAM, self.window), word_symbols)
         rows = keyed(docs, "text")
-        old = self._read(self._folders("texts"), "doc_id long, sub int, text string")
-        least, most = rows.agg(F.min("doc_id")).first()[0], old.agg(F.max("doc_id")).first()[0]
-        if most is not None and ((least is not None and least <= most) or rows.filter("doc_id IS NULL").limit(1).count()):
-            raise ValueError(f"ids of a new batch must lie above {most}")
-        at = len(self._folders("texts"))
-        result = stored(repeats(docs, windows, index, emitter(windows, n), comparer(windows, n), True, with_text, history=(self._read(self._folders("runs"), BLOCKS), old, self.buckets)))
-        new = rows.mapInArrow(tidy(map_anchors(windows, self.buckets, 4 * n), keep=False), BLOCKS).filter(F.col("kind") == ANCHORS)
-        new.write.mode("overwrite").parquet(f"{self.path}/runs/{at:08d}")
-        rows.write.mode("overwrite").parquet(f"{self.path}/texts/{at:08d}")
-        if len(self._folders("runs")) >= FANOUT:
-            self.compact()
+        least, most = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
+        if state["most"] is not None and ((least is not None and least <= state["most"]) or rows.filter("doc_id IS NULL").limit(1).count()):
+            raise ValueError(f"ids of a new batch must lie above {state['most']}")
+        anchors = stored(rows.mapInArrow(tidy(map_anchors(windows, self.buckets, 4 * n), keep=False), BLOCKS).filter(F.col("kind") == ANCHORS).mapInArrow(tidy(unpacked, keep=False), self.RUN))
+        met = self._met(anchors.select("key").distinct(), [r for _, r in state["runs"]])
+        history = None
+        if met is not None:
+            met = stored(met)
+            texts = self.spark.read.schema(self.TEXTS).parquet(*(f"{self.path}/{x}" for x in state["texts"]))
+            asked = met.select(F.col("doc").alias("d")).distinct()
+            texts = texts.join(asked, F.coalesce("doc_id", F.lit(NULL_ID).cast("long")) == F.col("d"), "left_semi")
+            history = met.mapInArrow(tidy(packed(self.buckets), keep=False), BLOCKS), texts, self.buckets
+        result = stored(repeats(docs, windows, index, lambda: emitter(windows, n), comparer(windows, n), True, with_text, history=history))
+        text = f"texts-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{text}")
+        new = {**state, "most": most if most is not None else state["most"], "texts": [*state["texts"], text], "runs": [*state["runs"], [0, self._write(anchors)]]}
+        self._commit(new, number)
+        self.compact()
         return result
 
     def compact(self) -> None:
-        """All runs as one."""
-
-        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            by: dict[int, list[bytes]] = {}
-            for batch in batches:
-                for bucket, block in zip(batch.column("bucket").to_pylist(), batch.column("block"), strict=True):
-                    by.setdefault(bucket, []).append(block.as_py())
-            for bucket, found in by.items():
-                run = Run(*columns_of(found))
-                yield one_block(bucket, ANCHORS, *run.columns)
-
-        several = self._folders("runs")
-        target = several[-1] + "c"
-        self._read(several, BLOCKS).repartition(partitions(self.spark), "bucket").mapInArrow(tidy(merge, keep=False), BLOCKS).write.mode("overwrite").parquet(f"{self.path}/{target}")
-        for name in several:
-            p, fs = self._hadoop(name)
-            fs.delete(p, True)
+        """FANOUT runs of one level become one of the next, from the lowest level up."""
+        while True:
+            number, state = len(self._commits()), self.state()
+            levels: dict[int, list[str]] = {}
+            for level, name in state["runs"]:
+                levels.setdefault(level, []).append(name)
+            full = next((x for x in sorted(levels) if len(levels[x]) >= FANOUT), None)
+            if full is None:
+                return
+            several = levels[full]
+            one = self._write(reduce(DataFrame.union, map(self._run, several)))
+            self._commit({**state, "runs": [[x, r] for x, r in state["runs"] if r not in several] + [[full + 1, one]]}, number)
+            for name in several:
+                p, fs = self._hadoop(name)
+                fs.delete(p, True)
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of fingerprints as rows."""
+    for batch in batches:
+        for block in batch.column("block"):
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in unpack(block.as_py())], names=["key", "context", "doc", "pos"])
+
+
+def packed(buckets: int):
+    """Rows of fingerprints as blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, context, doc, pos = (x.to_numpy() for x in batch.columns)
+            key = key.view(np.uint64)
+            yield blocks(ANCHORS, (key >> np.uint64(8)).astype(np.int64) % buckets, key, context.view(np.uint64), doc, pos)
+
+    return run
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -13,18 +13,20 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, ids_of, partitions, scratch, tidy
+from tabulon.llm.common import NULL_ID, ids_of, keyed, partitions, scratch, tidy
 from tabulon.llm.encoding import encoder
+from tabulon.session import small_batches
 
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1000, 8000, 1 << 16
+PARTS = 4  # ranges of ids for each shuffle partition
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 13
 SHARD = "part int, seq int, first_doc long, last_doc long, start long, n_ids long, width int, dictionary_hash string, doc_ids binary, counts binary, offsets binary, frames binary"
 
@@ -47,57 +49,83 @@ def write(docs: DataFrame, file: str, path: str, end: int | None = 0, id_column:
     longer than SAMPLE_CHARS; nothing else depends on the sample.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    small_batches(spark)
+    rows = keyed(docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")), "text")
     by = F.xxhash64("doc_id")
     least = [r[0] for r in rows.select(by.alias("h")).orderBy("h").limit(SAMPLE_ROWS).collect()]
     sample = rows.filter((by <= max(least, default=0)) & (F.length("text") <= SAMPLE_CHARS)).limit(SAMPLE_ROWS).collect()
     dictionary = train([r["text"] for r in sample], file)
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary))], "hash string, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
+    # ranges of ids with about as many rows each; only ids are read for them
+    n = partitions(spark)
+    shares = [i / (PARTS * n) for i in range(1, PARTS * n)]
+    edges = np.unique(np.array(rows.agg(F.percentile_approx("doc_id", shares)).first()[0] or [], np.int64))
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(file)
         last = b"" if end is None else np.array([end], e.dtype).tobytes()
-        shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        compress = zstandard.ZstdCompressor(level=1, dict_data=shared, write_content_size=True, write_dict_id=False).compress
-        part = TaskContext.get().partitionId()
-        seq = start = held = 0
-        ids: list[int] = []
-        counts: list[int] = []
-        frames: list[bytes] = []
+        compress = zstandard.ZstdCompressor(level=1, dict_data=shared(dictionary), write_content_size=True, write_dict_id=False).compress
+        for batch in batches:
+            docs_ = ids_of(batch.column(0))
+            part = np.where(docs_ == NULL_ID, 0, np.searchsorted(edges, docs_, "right"))
+            at = 0
+            for ids, bounds in e.column(batch.column(2)):
+                raw, cut = ids.tobytes(), (bounds * e.dtype.itemsize).tolist()
+                frames = [compress(raw[i:j] + last) for i, j in zip(cut, cut[1:], strict=False)]
+                to = at + len(frames)
+                counts = np.diff(bounds) + len(last) // e.dtype.itemsize
+                yield pa.RecordBatch.from_arrays([pa.array(part[at:to], pa.int32()), *(batch.column(k).slice(at, to - at) for k in (0, 1)), pa.array(counts), pa.array(frames, pa.binary())], names=["part", "doc_id", "sub", "n", "frame"])
+                at = to
+
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = encoder(file).dtype.itemsize
+        at, seq, start = -1, 0, 0
+        held: list[tuple[np.ndarray, np.ndarray, list[bytes]]] = []
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, start, held
+            nonlocal seq, start
+            ids, counts = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            frames = [f for h in held for f in h[2]]
             offsets = np.cumsum([0, *map(len, frames)], dtype=np.int64)
-            row = (part, seq, ids[0], ids[-1], start, held, e.dtype.itemsize, digest, np.array(ids, "<i8").tobytes(), np.array(counts, "<i8").tobytes(), offsets.tobytes(), b"".join(frames))
-            seq, start, held = seq + 1, start + held, 0
-            for x in (ids, counts, frames):
-                x.clear()
+            total = int(counts.sum())
+            row = (at, seq, int(ids[0]), int(ids[-1]), start, total, width, digest, ids.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), offsets.tobytes(), b"".join(frames))
+            seq, start = seq + 1, start + total
+            held.clear()
             kinds = [pa.int32()] * 2 + [pa.int64()] * 4 + [pa.int32(), pa.string()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in SHARD.split(", ")])
 
         for batch in batches:
-            for doc, raw in zip(ids_of(batch.column(0)).tolist(), e.encode(t.as_py() for t in batch.column(1)), strict=True):
-                raw += last
-                ids.append(doc)
-                counts.append(len(raw) // e.dtype.itemsize)
-                frames.append(compress(raw))
-                held += counts[-1]
-                if held >= SHARD_IDS or len(ids) >= SHARD_DOCS:
+            part, ids, counts = batch.column(0).to_numpy(), ids_of(batch.column(1)), batch.column(3).to_numpy()
+            frames = batch.column(4).to_pylist()
+            # a shard ends with its range, or where it is full
+            full = np.cumsum(counts) // SHARD_IDS + np.arange(len(ids)) // SHARD_DOCS
+            cuts = [0, *(np.flatnonzero((np.diff(part) != 0) | (np.diff(full) != 0)) + 1).tolist(), len(ids)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                if held and (part[i] != at or sum(h[1].sum() for h in held) >= SHARD_IDS or sum(len(h[0]) for h in held) >= SHARD_DOCS):
                     yield flush()
-        if ids:
+                if part[i] != at:
+                    at, seq, start = int(part[i]), 0, 0
+                held.append((ids[i:j], counts[i:j], frames[i:j]))
+        if held:
             yield flush()
 
-    ordered = rows.repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    framed = rows.mapInArrow(tidy(encode), "part int, doc_id long, sub int, n long, frame binary")
+    ordered = framed.repartition(n, "part").sortWithinPartitions("part", F.col("doc_id").asc_nulls_first(), "sub").select("part", "doc_id", "sub", "n", "frame")
     ordered.mapInArrow(tidy(shards), SHARD).write.option("compression", "uncompressed").parquet(f"{path}/shards")
 
 
+def shared(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
+    return zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+
+
 def frames_of(row: dict, dictionary: bytes, wanted: np.ndarray | None = None) -> Iterator[tuple[int, int, bytes]]:
     """(doc_id, ids before it in its part, its ids as bytes) of a shard's documents, or of those at `wanted`."""
     if hashlib.sha256(dictionary).hexdigest() != row["dictionary_hash"]:
         raise ValueError("the shard was written with another dictionary")
-    shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-    expand = zstandard.ZstdDecompressor(dict_data=shared).decompress
+    expand = zstandard.ZstdDecompressor(dict_data=shared(dictionary)).decompress
     docs, counts, offsets = (np.frombuffer(row[k], "<i8") for k in ("doc_ids", "counts", "offsets"))
     starts = row["start"] + np.cumsum(counts) - counts
     for i in range(len(docs)) if wanted is None else wanted:
@@ -106,7 +134,7 @@ def frames_of(row: dict, dictionary: bytes, wanted: np.ndarray | None = None) ->
 
 
 def _opened(spark: SparkSession, path: str) -> tuple[DataFrame, bytes]:
-    """The shards with the number of ids before their part, and the dictionary. Parts are as many as the writer's tasks."""
+    """The shards with the number of ids before their part, and the dictionary. Parts are as many as the writer's ranges of ids."""
     shards = spark.read.parquet(f"{path}/shards")
     total = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = total.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
@@ -129,9 +157,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def lookup(spark: SparkSession, path: str, docs: list[int]) -> DataFrame:
     """(doc_id, ids) of a few documents: shards are pruned by their range of ids, and only the asked frames are expanded."""
-    shards, dictionary = _opened(spark, path)
+    shards = spark.read.parquet(f"{path}/shards")
+    dictionary = bytes(spark.read.parquet(f"{path}/dictionary").first()["dictionary"])
     asked = sorted(set(docs))
-    hit = F.exists(F.array(*map(F.lit, asked)), lambda d: d.between(F.col("first_doc"), F.col("last_doc")))
+    # plain terms, which the scan skips row groups by
+    hit = reduce(lambda a, b: a | b, [(F.col("first_doc") <= d) & (F.col("last_doc") >= d) for d in asked], F.lit(False))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +169,7 @@ def lookup(spark: SparkSession, path: str, docs: list[int]) -> DataFrame:
                 got = list(frames_of(row, dictionary, np.flatnonzero(np.isin(np.frombuffer(row["doc_ids"], "<i8"), asked))))
                 yield pa.RecordBatch.from_arrays([pa.array([d for d, _, _ in got], pa.int64()), pa.array([np.frombuffer(raw, f"<u{row['width']}").tolist() for _, _, raw in got], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    return shards.filter(hit if asked else F.lit(False)).mapInArrow(tidy(expand, keep=False), "doc_id long, ids array<long>")
+    return shards.filter(hit).mapInArrow(tidy(expand, keep=False), "doc_id long, ids array<long>")
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:

@@ -78,9 +78,25 @@ def test_incremental_index(spark, docs, tmp_path):
         for r in index.ingest(docs.filter(f"doc_id >= {lo} and doc_id < {lo + 8}")).collect():
             got[r["doc_id"]] = r["n_removed"]
     assert got == {i: sum(gone) for i, (_, gone) in brute_windows(words, 20).items()}
-    assert len(index._folders("runs")) == 2 and len(index._folders("texts")) == 5
+    state = index.state()
+    assert sorted(level for level, _ in state["runs"]) == [0, 1] and len(state["texts"]) == 5  # five batches, four of their runs compacted
     with pytest.raises(ValueError, match="must lie above"):
         index.ingest(docs)
+    # the history is joined where it lies: only the batch is exchanged
+    plan = index._met(spark.range(9).select(F.col("id").alias("key")), [state["runs"][0][1]])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan and "Bucketed: true" in plan
+
+
+def test_a_broken_batch_leaves_no_trace(spark, tmp_path, monkeypatch):
+    t = [" ".join(f"{w}{i}" for i in range(30)) for w in ("a", "b")]
+    frame = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    index = substring_dedup.SubstringIndex(spark, str(tmp_path / "index"), buckets=3)
+    index.ingest(frame((1, t[0])))
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(substring_dedup.SubstringIndex, "_commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        index.ingest(frame((2, t[1])))
+    again = substring_dedup.SubstringIndex(spark, str(tmp_path / "index"))
+    assert [(r["doc_id"], r["n_removed"]) for r in again.ingest(frame((2, t[0]), (3, t[1]))).orderBy("doc_id").collect()] == [(2, 30), (3, 0)]
 
 
 def test_suffix_dedup(docs):
@@ -121,7 +137,7 @@ def test_loser_tree_merges_with_common_prefixes():
     every = sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9))) for _ in range(400))
     lists = [sorted(every[i::7]) for i in range(7)]
     coded = [suffix_dedup.front_coded(x) for x in lists]
-    got = list(suffix_dedup.merged([suffix_dedup.decoded(*c) for c in coded], 9))
+    got = list(suffix_dedup.merged([suffix_dedup.decoded(*c) for c in coded]))
     assert [s for _, s, _ in got] == every
     for (_, a, _), (_, b, k) in zip(got, got[1:], strict=False):
         assert k == next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
@@ -432,7 +448,7 @@ def test_neighbours(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (901, [0.0] * 16), (902, [float("nan")] + [1.0] * 15), (903, [None] + [1.0] * 15), (904, [1.0]), (None, [1.0] * 16), (7, x[7].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit("x"))
     got: dict = {}
-    for r in neighbours.neighbours(df, F.col("vec_id") % 20 == 0, least=64, block=128, share=0.1).collect():
+    for r in neighbours.neighbours(df, F.col("vec_id") % 20 == 0, least=64, share=0.1).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     y, hit = x.astype(np.float64), 0
     assert sorted(got) == list(range(0, 600, 20))
@@ -447,6 +463,31 @@ def test_neighbours(spark):
     assert hit >= 0.9 * 20 * len(got)
 
 
+def test_recall_of_the_shipped_parameters(spark, monkeypatch):
+    """20,000 vectors without any clusters, several stretches and tiles; ties and repeated rows are in the test above."""
+    rng = np.random.default_rng(2)
+    n, dims = 20_000, 64
+    x = rng.normal(size=(n, dims)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7::2000] = x[7]
+    monkeypatch.setattr(neighbours, "GROUP", 300)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got: dict = {}
+    for r in neighbours.neighbours(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    y, hit = x.astype(np.float64), 0
+    assert sorted(got) == list(range(0, n, 20))
+    for q, found in got.items():
+        found.sort()
+        s = y @ y[q]
+        s[q] = -np.inf
+        best = np.lexsort((np.arange(n), -s))[:20]
+        assert len({v for _, v, _ in found}) == 20 and all(abs(s[v] - z) < 1e-9 for _, v, z in found)
+        hit += len(set(best.tolist()) & {v for _, v, _ in found})
+    assert hit >= 0.9 * 20 * len(got), hit / (20 * len(got))
+    print("recall", hit / (20 * len(got)))
+
+
 def test_hilbert_is_a_walk():
     side = 8
     cells = np.array([(a, b, c) for a in range(side) for b in range(side) for c in range(side)])
