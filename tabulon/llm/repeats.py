@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
+from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, free, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
 
 GROUP = 1 << 20
 FLUSH = 1 << 21
@@ -378,6 +378,8 @@ def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool
     if history:
         anchors = anchors.union(history[0])
     found = stored(anchors.repartition(n, "bucket").mapInArrow(tidy(resolve_anchors(windows, 4 * n, index), keep=False), BLOCKS))
+    del anchors
+    free(docs.sparkSession)
 
     def as_texts(df: DataFrame) -> DataFrame:
         return df.select(bucket_column("doc_id", 4 * n).alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("block"), "doc_id", "sub", "text")
@@ -390,5 +392,7 @@ def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool
     every = texts.union(as_texts(history[1])) if history else texts
     contexts = beside(found.filter(F.col("kind") == OPEN), every).mapInArrow(tidy(contexts_of(windows, n, emit), keep=False), BLOCKS)
     compared = stored(contexts.repartition(n, "bucket").mapInArrow(tidy(compare, keep=False), BLOCKS))
+    del contexts
+    free(docs.sparkSession)
     schema = "doc_id long, sub int, n long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<struct<first: long, last: long>>, kept binary" * with_text
     return beside(found.filter(F.col("kind") == SETTLED).union(compared), texts).mapInArrow(tidy(finish(windows, words, with_text), keep=False), schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tabulon.llm.common import bucket_of, partitions
-from tabulon.llm.repeats import COMPARED, OPEN, Windows, blocks, byte_symbols, columns_of, gathered, one_block, repeats, runs, unpack
+from tabulon.llm.repeats import COMPARED, OPEN, Windows, blocks, byte_symbols, columns_of, one_block, repeats, runs, unpack
 
 WINDOW, GRAM = 100, 24
 RUN = 1 << 16  # suffixes that are sorted into runs together
@@ -151,7 +151,7 @@ class Emitter:
         h, doc, pos = (np.concatenate(x) for x in zip(*self.rows, strict=True))
         right, left = self.right, self.left
         self.right, self.left, self.rows = [], [], []
-        bucket = (h >> np.uint64(8)).astype(np.int64) % self.n
+        bucket = (h >> np.uint64(8)).astype(np.int64) % (4 * self.n)
         by_bucket = bucket.tolist()
         rank = np.empty(len(doc), np.int64)
         rank[np.lexsort((pos, doc))] = np.arange(len(doc))
@@ -188,13 +188,19 @@ def comparer(windows: Windows, n: int):
     left, length = windows.reach, windows.length
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = gathered(batches)
-        for block in found.pop(COMPARED, ()):
-            doc, pos, most, least = unpack(block)
-            yield blocks(COMPARED, bucket_of(doc, 4 * n), doc, pos, most, least)
-        if OPEN not in found:
-            return
-        parts = [unpack(x) for x in found.pop(OPEN)]
+        found: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for bucket, kind, block in zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), batch.column("block"), strict=True):
+                if kind == OPEN:
+                    found.setdefault(bucket, []).append(block.as_py())
+                else:
+                    doc, pos, most, least = unpack(block.as_py())
+                    yield blocks(COMPARED, bucket_of(doc, 4 * n), doc, pos, most, least)
+        while found:  # bucket by bucket, since no suffix of one equals one of another
+            yield from one(found.popitem()[1])
+
+    def one(several: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(x) for x in several]
         start = np.cumsum([0, *(len(p[0]) for p in parts)])
         doc, pos = (np.concatenate([p[i] for p in parts]) for i in (7, 8))
         # the suffix array over all runs and the order of what stands before, with the common prefixes of neighbours
