@@ -25,6 +25,16 @@ def _tokens(lines: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else [{"start": m.start(), "end": m.end(), "tok": m.group()} for m in _pattern.finditer(x)] for x in lines])
 
 
+@F.pandas_udf(TOKENS)
+def _words(lines: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else [{"start": m.start(), "end": m.end(), "tok": m.group()} for m in re.finditer(r"\S+", x)] for x in lines])
+
+
+def words(line) -> Column:
+    """What stands between white space, with places."""
+    return _words(text(line))
+
+
 def tokens(line) -> Column:
     """Numbers and lone dashes of a line with their places."""
     return _tokens(text(line))
@@ -59,7 +69,7 @@ def adaptive(toks, columns, limit: int = 8) -> Column:
     cols = text(columns)
 
     def near(t: Column) -> Column:
-        by = F.array_sort(F.transform(cols, lambda c, i: F.struct(F.abs(t["end"] - c).alias("dist"), i.alias("idx"))))
+        by = F.array_sort(F.transform(cols, lambda c, i: F.struct(distance(t, c).alias("dist"), i.alias("idx"))))
         second = F.coalesce(F.get(by, F.lit(1))["dist"], F.lit(2 * limit))
         return F.struct(F.get(by, F.lit(0)).alias("n"), F.least(F.lit(float(limit)), second / 2).alias("most"), t["start"].alias("start"), t["tok"].alias("tok"))
 
@@ -73,18 +83,47 @@ def cells(hits, columns) -> Column:
     return F.transform(text(columns), lambda _, i: F.get(F.reverse(F.filter(h, lambda x: x["idx"] == i)), F.lit(0))["value"])
 
 
-def is_years(values) -> Column:
-    """Whether all values that are there are years: a header, not data."""
+def is_years(values, western: bool = True) -> Column:
+    """Whether all values that are there are years: a header, not data. western: years of either calendar, else Thai ones only."""
     there = F.filter(text(values), lambda v: v.isNotNull())
-    return (F.size(there) > 0) & F.forall(there, lambda v: v.between(2400, 2700) | v.between(1990, 2100))
+    return (F.size(there) > 0) & F.forall(there, lambda v: v.between(2400, 2700) | v.between(1990, 2100) if western else v.between(2400, 2700))
+
+
+def bound(value: Column, body) -> Column:
+    """body(value) with value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def parsed(line, toks, columns, tolerance: int = 4) -> Column:
     """(label, values) of a data line, NULL for any other; the label ends at the first token that is placed."""
-    hits = placed(toks, columns, tolerance)
-    values = cells(hits, columns)
-    first = F.array_min(F.transform(hits, lambda x: x["start"]))
-    return F.when((F.size(hits) > 0) & ~is_years(values), F.struct(clean_label(F.substr(text(line), F.lit(1), first)).alias("label"), values.alias("values")))
+    cols = text(columns)
+
+    def of(hits: Column) -> Column:
+        first = F.array_min(F.transform(hits, lambda x: x["start"]))
+        label = clean_label(F.substr(text(line), F.lit(1), first))
+        return bound(cells(hits, cols), lambda v: F.when((F.size(hits) > 0) & ~is_years(v), F.struct(label.alias("label"), v.alias("values"))))
+
+    return bound(placed(toks, cols, tolerance), of)
+
+
+def matrix_row(line, toks, columns, least: int = 3) -> Column:
+    """(label, values, filled, start) of a row of a wide table: cells by adaptive tolerance, a dash counts as filled; NULL without any cell.
+
+    data: at least so many filled cells, and not only Thai years.
+    """
+    cols = text(columns)
+
+    def of(hits: Column) -> Column:
+        first = F.array_min(F.transform(hits, lambda x: x["start"]))
+        label, filled = clean_label(F.substr(text(line), F.lit(1), first)), F.size(hits)
+
+        def row(v: Column) -> Column:
+            data = (filled >= least) & ~is_years(v, western=False)
+            return F.when(filled > 0, F.struct(label.alias("label"), v.alias("values"), filled.alias("filled"), first.alias("start"), data.alias("data")))
+
+        return bound(cells(hits, cols), row)
+
+    return bound(adaptive(toks, cols), of)
 
 
 def parsed_total(line, toks, columns, wide: int = 12) -> Column:
@@ -121,12 +160,20 @@ def _four(some: Column) -> Column:
 
 
 def spill_values(page, consonants: str = voc.CONSONANTS, least: int = 3, max_lines: int = 24) -> Column:
-    """Values of a column that went to a page of its own: lines of one token and no letters, on a short page with a line of totals; NULL if fewer than `least`."""
+    """Values of a column that went to a page of its own: the number of each line with one token and no letters, on a short page with a line of totals; dashes are left out; NULL if fewer than `least`."""
     lines = F.filter(F.split(text(page), "\n"), lambda ln: F.trim(ln) != "")
-    total = F.exists(lines, lambda ln: F.regexp_replace(ln, f"[^{consonants}]", "").startswith(bones(voc.TOTAL, consonants)))
-    single = F.filter(lines, lambda ln: ~ln.rlike(f"[{consonants}]") & ln.rlike(r"^\s*(\(?-?[0-9,]+\.?[0-9]*\)?|-)\s*$"))
-    values = F.transform(single, lambda ln: F.trim(ln))
-    last = F.element_at(values, -1)
-    number = ~F.contains(last, F.lit(",")) & (F.abs(to_number(last)) < 1000)
-    kept = F.when((F.size(values) > 0) & F.coalesce(number, F.lit(False)), F.slice(values, 1, F.greatest(F.size(values) - 1, F.lit(0)))).otherwise(values)
-    return F.when((F.size(lines) <= max_lines) & total & (F.size(kept) >= least), F.transform(kept, to_number))
+
+    def of(lines: Column) -> Column:
+        total = F.exists(lines, lambda ln: F.regexp_replace(ln, f"[^{consonants}]", "").startswith(bones(voc.TOTAL, consonants)))
+        found = F.transform(F.filter(lines, lambda ln: ~ln.rlike(f"[{consonants}]")), lambda ln: F.regexp_extract_all(ln, F.lit(voc.TOKEN), F.lit(0)))
+        single = F.transform(F.filter(found, lambda x: F.size(x) == 1), lambda x: to_number(F.get(x, F.lit(0))))
+        short = ~F.contains(F.element_at(lines, -1), F.lit(","))
+
+        def judge(v: Column) -> Column:  # a short number at the end is the page's own
+            number = short & (F.abs(F.element_at(v, -1)) < 1000)
+            kept = F.when((F.size(v) > 0) & number, F.slice(v, 1, F.greatest(F.size(v) - 1, F.lit(0)))).otherwise(v)
+            return F.when((F.size(lines) <= max_lines) & total & (F.size(kept) >= least), kept)
+
+        return bound(F.filter(single, lambda v: v.isNotNull()), judge)
+
+    return F.when(F.exists(F.split(text(page), "\n"), lambda ln: F.trim(ln) != ""), bound(lines, of))

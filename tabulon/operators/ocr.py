@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.functions.text import normalise_digits
+
+NUMBER = re.compile(r"[\d,.()\-]+")
+
 
 def assemble(words: pd.DataFrame, near: float = 0.6) -> str:
-    """Layout text of one page's words (text, x, y, w, h)."""
+    """Layout text of one page's words (text, x, y, w, h). Only numbers tell how wide a character is, if there are any: marks above and below letters take no room."""
     if not len(words):
         return ""
-    rows = sorted(((r.y + r.h / 2, r.x, r.w, str(r.text)) for r in words.itertuples()), key=lambda r: (r[0], r[1]))
-    heights, widths = sorted(words["h"]), sorted(w / max(1, len(str(t))) for w, t in zip(words["w"], words["text"], strict=True))
-    height, char = heights[len(heights) // 2], max(widths[len(widths) // 2], 1e-9)
+    rows = sorted(((r.y + r.h / 2, i, r.x, r.w, str(r.text)) for i, r in enumerate(words.itertuples())), key=lambda r: r[:2])
+    width = lambda some: sorted(w / max(1, len(t)) for _, _, _, w, t in some)
+    widths, heights = width([r for r in rows if NUMBER.fullmatch(r[4])]) or width(rows), sorted(words["h"])
+    height, char = heights[len(heights) // 2], widths[len(widths) // 2] or 1
     lines: list[list] = []
     at = None
-    for mid, x, w, t in rows:
+    for mid, _, x, w, t in rows:
         if at is not None and abs(mid - at) <= near * height:
             lines[-1].append((x, w, t))
             at = (at + mid) / 2
@@ -26,22 +33,22 @@ def assemble(words: pd.DataFrame, near: float = 0.6) -> str:
     out = []
     for line in lines:
         text, right = "", None
-        for x, w, t in sorted(line):
-            if right is not None and x - right < 0.5 * char:
-                text += t
-            else:
-                want = round(x / char)
-                text += " " * (max(want - len(text), 1) if text else want) + t
+        for x, w, t in sorted(line, key=lambda r: r[0]):
+            if right is None or x - right >= 0.5 * char:
+                column = round(x / char)
+                text = text.ljust(column if column >= len(text) else len(text) + 1)
+            text += t
             right = x + w
-        out.append(text)
+        out.append(text.rstrip())
     return "\n".join(out)
 
 
 def layout(boxes: DataFrame, least: float = 30.0) -> DataFrame:
-    """(source, page, text) from boxes (source, page, text, x, y, w, h, conf) that were read surely enough."""
-    good = boxes.filter((F.col("conf") >= least) & (F.trim("text") != ""))
+    """(source, page, text) from boxes (source, page, text, x, y, w, h, conf) that were read surely enough; letters in numbers that OCR takes for digits are put right."""
+    good = boxes.withColumn("text", F.trim("text")).filter((F.col("conf") >= least) & (F.col("text") != "")).withColumn("text", normalise_digits("text"))
 
     def page(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["y", "x", "text"], kind="stable")
         return pd.DataFrame({"source": [pdf["source"].iloc[0]], "page": [int(pdf["page"].iloc[0])], "text": [assemble(pdf)]})
 
     return good.groupBy("source", "page").applyInPandas(page, "source string, page int, text string")

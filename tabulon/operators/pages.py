@@ -27,13 +27,46 @@ def of_statements(pages: DataFrame, statements: list[str]) -> DataFrame:
 
 def until_blank(pages: DataFrame) -> DataFrame:
     """Pages before a source's first blank one."""
-    blank = F.min(F.when(F.trim(F.coalesce("text", F.lit(""))) == "", F.col("page"))).over(Window.partitionBy("source"))
+    blank = F.min(F.when(~F.coalesce("text", F.lit("")).rlike(r"\S"), F.col("page"))).over(Window.partitionBy("source"))
     return pages.withColumn("_b", blank).filter(F.col("_b").isNull() | (F.col("page") < F.col("_b"))).drop("_b")
 
 
-def scanned(pages: DataFrame, least: int = 50, first: int = 5) -> DataFrame:
+def scanned(pages: DataFrame, least: int = 50, first: int = 5, chars: str = voc.CONSONANTS) -> DataFrame:
     """(source, scanned): hardly any letters on the first pages, so there is no text layer."""
-    return pages.groupBy("source").agg((F.coalesce(F.sum(F.when(F.col("page") <= first, F.length(skeleton("text")))), F.lit(0)) < least).alias("scanned"))
+    return pages.groupBy("source").agg((F.coalesce(F.sum(F.when(F.col("page") <= first, F.length(skeleton("text", chars)))), F.lit(0)) < least).alias("scanned"))
+
+
+def by_title_only(pages: DataFrame, how: str = "page_how") -> DataFrame:
+    """Pages whose title was read as it is; the strict way with OCR."""
+    return pages.filter(F.col(how) == "title")
+
+
+def starts_label(line, least: int = 2) -> Column:
+    """Whether a line without values may be the first part of a label."""
+    return F.length(skeleton(line)) >= least
+
+
+def with_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with any value."""
+    return df.filter(F.coalesce(*columns).isNotNull())
+
+
+def with_label(df: DataFrame, label: str = "label", prefixes: str = "prefixes") -> DataFrame:
+    """Rows that have a label or lines before them that may be one; others are unnamed sums."""
+    return df.filter((F.length(skeleton(label)) > 0) | (F.size(prefixes) > 0))
+
+
+def long_enough(df: DataFrame, label: str = "label_used", least: int = voc.MIN_LABEL) -> DataFrame:
+    """Rows whose label is long enough to be one."""
+    return df.filter(F.length(skeleton(label)) >= least)
+
+
+def continued(df: DataFrame, partition: list[str], order: str, label: str, has_values: Column, first_data: str, depth: int = 2) -> DataFrame:
+    """df with `item`: the label, or, where it has no letters, the last `depth` lines with letters since the last line with values, from the first line of data on."""
+    keeps = F.when(~has_values & (F.col(order) >= F.col(first_data)) & (skeleton(label) != ""), F.col(label))
+    found = memory(df.withColumn("_k", keeps).withColumn("_r", has_values), partition, order, "_k", "_r", "_p", depth)
+    item = F.when((skeleton(label) == "") & (F.size("_p") > 0), F.array_join("_p", " ")).otherwise(F.col(label))
+    return found.withColumn("item", item).drop("_k", "_r", "_p")
 
 
 def lines(pages: DataFrame) -> DataFrame:
@@ -42,13 +75,13 @@ def lines(pages: DataFrame) -> DataFrame:
     return pages.select(*keep, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def section_of(line, sections: list[str] | None = None) -> Column:
+def section_of(line, sections: list[str] | None = None, chars: str = voc.CONSONANTS) -> Column:
     """The section that a whole line is the header of."""
     table = {}
     for s in sections if sections is not None else voc.SECTIONS:
-        table[bones(s)] = s
+        table[bones(s, chars)] = s
     known = F.create_map(*(x for k, v in table.items() for x in (F.lit(k), F.lit(v))))
-    return known[skeleton(line)]
+    return known[skeleton(line, chars)]
 
 
 def fill_forward(df: DataFrame, value: str, partition: list[str], order: str | Column, to: str) -> DataFrame:
@@ -91,19 +124,19 @@ def before_items(df: DataFrame, partition: list[str], order: str, subtotals: lis
     return found.withColumn(concept, F.when(F.col("_again") & F.col(concept).isin(subtotals), F.concat(concept, F.lit("_BEFORE_ITEMS"))).otherwise(F.col(concept))).drop("_again")
 
 
-def sides(pages: DataFrame, separate: list[str], consolidated: str) -> DataFrame:
-    """side of each page: by titles if all pages of the source have one and both sides occur, else the first page is consolidated and the rest are not."""
-    w = Window.partitionBy("source")
-    side = pages.withColumn("_s", page_side("text", separate, consolidated))
-    trusted = F.min(F.col("_s").isNotNull()).over(w) & (F.size(F.collect_set("_s").over(w)) == 2)
+def sides(pages: DataFrame, separate: list[str] | None = None, consolidated: str = voc.CONSOLIDATED, chars: str = voc.CONSONANTS, by: list[str] | None = None) -> DataFrame:
+    """side of each page: by titles if all pages of the source have one and both sides occur, or if there is one page only (which has no side without a title); else the first page is consolidated and the rest are not."""
+    w = Window.partitionBy(*(by or ["source"]))
+    side = pages.withColumn("_s", page_side("text", separate, consolidated, chars=chars))
+    trusted = (F.min(F.col("_s").isNotNull()).over(w) & (F.size(F.collect_set("_s").over(w)) == 2)) | (F.count("*").over(w) == 1)
     nth = F.row_number().over(w.orderBy("page"))
     return side.withColumn("side", F.when(trusted, F.col("_s")).otherwise(F.when(nth == 1, "con").otherwise("sep"))).drop("_s")
 
 
-def spills(pages: DataFrame, ahead: int = 3) -> DataFrame:
+def spills(pages: DataFrame, ahead: int = 3, by: list[str] | None = None, chars: str = voc.CONSONANTS) -> DataFrame:
     """pages with `spill`: values of the first page with spilled ones among the next `ahead`, before any page with a kind."""
-    w = Window.partitionBy("source").orderBy("page")
-    found = pages.withColumn("_v", spill_values("text"))
+    w = Window.partitionBy(*(by or ["source"])).orderBy("page")
+    found = pages.withColumn("_v", spill_values("text", chars))
     out, barred = F.lit(None).cast("array<double>"), F.lit(False)
     for n in range(1, ahead + 1):
         kind, v = F.lead("kind", n).over(w), F.lead("_v", n).over(w)

@@ -44,6 +44,11 @@ def present(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*(c for c in columns if c in df.columns))
 
 
+def top(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows."""
+    return df.orderBy(*order).limit(n)
+
+
 def counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values of each column, and rows."""
     return df.agg(F.count("*").alias("n_rows"), *(F.count_distinct(c).alias(f"n_{c}") for c in columns))

@@ -61,16 +61,16 @@ def first_seen(df: DataFrame, keys: list[str], ordinal: str = "ordinal") -> Data
 
 
 def first_filled(df: DataFrame, keys: list[str], values: list[str], pages: str, ordinal: str = "ordinal", section: str | None = None) -> DataFrame:
-    """Rows of a key as one: the first value of each column in the order of the input, the pages listed once each in that order."""
+    """Rows of a key as one: the first value of each column in the order of the input, and the pages of all in that order."""
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(ordinal))).alias(c)
     listed = F.transform(F.array_sort(F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col(pages).cast("string").alias("p")))), lambda x: x["p"])
     more = [F.max_by(section, F.when(F.col(section).isNotNull(), F.col(ordinal))).alias(section)] if section else []
-    return df.groupBy(*keys).agg(*(first(c) for c in values), F.array_join(F.array_distinct(listed), ",").alias(pages), *more, F.min(ordinal).alias(ordinal))
+    return df.groupBy(*keys).agg(*(first(c) for c in values), F.array_join(listed, ",").alias(pages), *more, F.min(ordinal).alias(ordinal))
 
 
-def merge_key(concept: str = "concept", item: str = "item_used") -> Column:
+def merge_key(concept: str = "concept", item: str = "item_used", chars: str = voc.CONSONANTS) -> Column:
     """A concept, or the label's skeleton marked as none."""
-    return F.coalesce(F.col(concept), F.concat(F.lit("~"), skeleton(item)))
+    return F.coalesce(F.col(concept), F.concat(F.lit("~"), skeleton(item, chars)))
 
 
 def stratified(df: DataFrame, group: str, stratum: str, n: int, strata: int, order: list[Column]) -> DataFrame:

@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.text import company_of
 
+FOLDER = "layout_of"  # folders of write_layout()
+
 
 def read_layout(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(source, page, text): text files of form-feed separated pages."""
-    reader = spark.read.option("wholetext", True)
-    files = (reader.option("pathGlobFilter", glob) if glob else reader).text(path).select(F.col("_metadata.file_name").alias("source"), "value")
-    return files.select("source", F.posexplode(F.split("value", "\f")).alias("page", "text")).withColumn("page", F.col("page") + 1)
+    """(source, page, text): text files of form-feed separated pages, as they come or as write_layout() left them."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("name"), F.regexp_extract(F.col("_metadata.file_path"), f"/{FOLDER}=-([^/]*)/[^/]*$", 1).alias("folder"))
+    own = F.col("folder") != ""
+    decoded = lambda c: F.url_decode(F.regexp_replace(c, r"\+", "%2B"))  # noqa: E731 - once for the path, once for the folder's name
+    source = F.when(own, decoded(decoded("folder"))).otherwise(F.col("name"))
+    value = F.when(own, F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))
+    return files.select(source.alias("source"), F.posexplode(F.split(value, "\f")).alias("page", "text")).withColumn("page", F.col("page") + 1)
 
 
 def known_sources(pages: DataFrame, known: list[str], every: bool = False) -> DataFrame:
@@ -74,7 +80,35 @@ def read_images(spark: SparkSession, path: str, glob: str = "*.png") -> DataFram
     return files.select(F.regexp_extract("path", r"([^/]*)$", 1).alias("source"), number.alias("page"), "content").orderBy("page", "source")
 
 
+def check_writable(spark: SparkSession, path: str) -> None:
+    """Fail now if nothing can be written below a path, not after the slow work."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_probe")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(p, True).close()
+    fs.delete(p, False)
+
+
 def write_layout(pages: DataFrame, path: str) -> None:
-    """A text file for each source's pages, joined by form feeds, in a folder by source."""
-    joined = pages.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda p: p["text"]), "\f").alias("value"))
-    joined.write.mode("overwrite").partitionBy("source").option("lineSep", "\f").text(path)
+    """A text file for each source's pages, joined by form feeds, in a folder by source; read_layout() gives the same pages back."""
+    check_writable(pages.sparkSession, path)
+    joined = pages.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", F.coalesce("text", F.lit("")).alias("text")))), lambda p: p["text"]), "\f").alias("value"))
+    joined.select(F.concat(F.lit("-"), "source").alias(FOLDER), "value").write.mode("overwrite").partitionBy(FOLDER).option("lineSep", "\n").text(path)
+
+
+def page_images(spark: SparkSession, path: str, glob: str = "*.pdf", limit: int = 20, dpi: int = 300) -> DataFrame:
+    """(source, page, content): PNG images of PDF pages by pdftoppm on the executors; no rows for a file where it fails."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select(F.regexp_extract("path", r"([^/]*)$", 1).alias("source"), "content")
+
+    def images(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, content in zip(batch["source"], batch["content"], strict=True):
+                for page in range(1, limit + 1):
+                    try:
+                        done = subprocess.run(["pdftoppm", "-r", str(dpi), "-f", str(page), "-l", str(page), "-png", "-"], input=content, capture_output=True, check=False)
+                    except OSError:
+                        break
+                    if done.returncode or not done.stdout:
+                        break
+                    yield pd.DataFrame({"source": [source], "page": [page], "content": [done.stdout]})
+
+    return files.mapInPandas(images, "source string, page int, content binary")

@@ -10,16 +10,26 @@ from tabulon import schemas
 from tabulon import vocabulary as voc
 from tabulon.functions.text import company_name, to_number
 
+BOM = "\ufeff"
+
+
+WIDTH = 64  # columns that a file may have
+
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Columns by the header's names, whatever their order; those that a file lacks are NULL. With the file and the line's place in it as `ordinal`."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    want = StructType.fromDDL(schema)
+    """Columns by the names in each file's own header, whatever their order there; those that a file lacks are NULL. With the file and the line's place in it as `ordinal`."""
+    cells = [f"_c{i}" for i in range(WIDTH)]
+    raw = spark.read.schema(", ".join(f"{c} string" for c in cells)).option("multiLine", True).option("escape", '"').csv(path)
     place = Window.partitionBy("_file").orderBy("_line")
-    lines = raw.withColumn("_file", F.col("_metadata.file_name")).withColumn("_line", F.monotonically_increasing_id())
-    names = {c.lstrip("﻿"): c for c in raw.columns}
-    columns: list[Column] = [(F.col(f"`{names[f.name]}`").try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
-    return lines.select(*columns, "_file", (F.row_number().over(place) - 1).alias("ordinal")).withColumnRenamed("_file", "file")
+    lines = raw.select(F.array(*cells).alias("_v"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("_line"))
+    lines = lines.withColumn("_h", F.first("_v").over(place)).withColumn("ordinal", F.row_number().over(place) - 2).filter("ordinal >= 0")
+    at = F.transform("_h", lambda x: F.trim(F.regexp_replace(x, BOM, "")))
+
+    def column(name: str) -> Column:
+        i = F.array_position(at, name)
+        return F.when(i > 0, F.get("_v", i.cast("int") - 1))
+
+    return lines.select(*(column(f.name).try_cast(f.dataType).alias(f.name) for f in StructType.fromDDL(schema).fields), "file", "ordinal")
 
 
 def read_alias(spark: SparkSession, path: str) -> DataFrame:
@@ -37,11 +47,14 @@ def read_extracted(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, csv: bool = False) -> None:
-    """df under `path`, replacing what was there; without rows nothing is written and an error raised."""
+    """df under `path`, replacing what was there; without rows nothing is written and an error raised. CSV files begin with a byte order mark."""
     if df.limit(1).count() == 0:
         raise ValueError(f"no rows to write to {path}")
-    writer = df.write.mode("overwrite")
-    writer.option("header", True).csv(path) if csv else writer.parquet(path)
+    if csv:
+        first, *rest = df.columns
+        df.select(F.col(f"`{first}`").alias(BOM + first), *(f"`{c}`" for c in rest)).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def first_existing(spark: SparkSession, candidates: list[str], explicit: str | None = None, marker: str | None = None) -> str:

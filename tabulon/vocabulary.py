@@ -10,6 +10,35 @@ CURRENT = ["con_cur", "sep_cur"]
 CONSONANTS = "ก-ฮ"
 TOKEN = r"\(?-?[\d,]+\.?\d*\)?|(?<![฀-๿\w])-(?![\d฀-๿])"
 
+# fixed values: how units are written, after the word for unit, in parentheses, and bare in a row of column heads; a dash with spaces; years; numbers of notes
+UNIT_NAMED = r"หน\s*่?\s*วย\s*[:：]?\s*(พัน|ล้าน)?\s*บาท"
+UNIT_PAREN = r"[(（]\s*(พัน|ล้าน)?\s*บาท\s*[)）]"
+UNIT_BARE = r"(?<![\d.,])\s(พัน|ล้าน)?บาท(?=\s|$)"
+SPACED_DASH = r"\s+[-–—]\s+"
+YEAR = r"2[45]\d\d"
+NOTE_NUMBER = r"\d+(?:\.\d+)?"
+
+# fixed values: concepts of cash flows that no other statement has, subtotals of cash flows, and a concept that means another one in statements of equity
+CF_SUBTOTALS = ["CF_OPERATING", "CF_INVESTING", "CF_FINANCING"]
+CF_ONLY = [
+    "CF_OPERATING", "CF_INVESTING", "CF_FINANCING", "CASH_NET_CHANGE", "CASH_NET_CHANGE_BEFORE_FX", "CASH_BEGIN", "CASH_END",
+    "CF_OPERATING_BEFORE_ITEMS", "CF_TRANSLATION", "CASH_FX_EFFECT", "CASH_RECLASS_HELD_FOR_SALE", "BANK_OVERDRAFT_BEGIN",
+]
+SE_REMAP = {"DIVIDEND_PAYABLE": "SE_DIVIDEND_DECLARED"}
+
+# fixed values: marks of consolidated and separate statements, and what rows of both are called
+CONSOLIDATED, SEPARATE = "งบการเงินรวม", ["เฉพาะกิจการ", "เฉพาะธนาคาร", "เฉพาะบริษัท"]
+SIDES = {"con": "งบรวม", "sep": "งบเฉพาะกิจการ"}
+BOTH_SIDES, COLUMN = "งบรวม+งบเฉพาะกิจการ", "คอลัมน์"
+
+# fixed values: words of a page's body that tell its statement where no title can be read, in the order in which they are tried
+CONTENT = [
+    ("CF", ["กระแสเงินสดจากกิจกรรม", "เงินสดสุทธิได้มาจาก", "เงินสดสุทธิใช้ไปใน"]),
+    ("SE", ["ยอดคงเหลือ ณ วันที่", "ยอดยกมา"]),
+    ("IS", ["รายได้จากการขาย", "ต้นทุนขาย", "กำไรขั้นต้น", "กำไรต่อหุ้น"]),
+    ("BS", ["รวมสินทรัพย์", "รวมหนี้สิน", "สินทรัพย์หมุนเวียน", "หนี้สินและส่วนของผู้ถือหุ้น", "หนี้สินและส่วนของเจ้าของ"]),
+]
+
 # fixed values: concepts of adjustments to the cash flow
 CF_ADJUSTMENTS = ["CASH_FX_EFFECT", "CF_TRANSLATION", "CASH_RECLASS_HELD_FOR_SALE", "BANK_OVERDRAFT_BEGIN"]
 

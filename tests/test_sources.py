@@ -14,7 +14,13 @@ def test_layout_round_trip(spark, tmp_path):
     assert {r["company"] for r in known.collect()} == {"AIS"}
     assert {r["company"] for r in layout.known_sources(got, ["AIS"], every=True).collect()} == {"AIS", "OTHER"}
     layout.write_layout(got, str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).count() >= 2
+    text = spark.createDataFrame([("007", 1, "a\nb"), ("007", 2, ""), ("x =%2F+ü.txt", 1, None), ("x =%2F+ü.txt", 2, "c\n")], "source string, page int, text string")
+    layout.write_layout(text.union(got), str(tmp_path / "out"))
+    back = sorted((r["source"], r["page"], r["text"]) for r in layout.read_layout(spark, str(tmp_path / "out")).collect())
+    assert back == sorted([*((r["source"], r["page"], r["text"] or "") for r in text.collect()), *((r["source"], r["page"], r["text"]) for r in got.collect())])
+    (tmp_path / "file").write_text("")
+    with pytest.raises(Exception):  # noqa: B017 - whatever the file system says
+        layout.check_writable(spark, str(tmp_path / "file"))
 
 
 def test_csv_keeps_text_and_order(spark, tmp_path):
@@ -24,6 +30,19 @@ def test_csv_keeps_text_and_order(spark, tmp_path):
     assert got[0]["item"] == "a, b" and got[0]["_note"] is None and got[0]["section"] is None
 
 
+def test_files_with_headers_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("﻿company,item,con_cur\nA,x,1\nA,\"two\nlines\",2\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("section,con_cur,company,item, trap \nS2,3,B,y,t\n", encoding="utf-8")
+    got = {(r["company"], r["item"]): (r["con_cur"], r["section"], r["trap"], r["file"], r["ordinal"]) for r in tables.read_truth(spark, str(tmp_path)).collect()}
+    assert got == {("A", "x"): (1.0, None, None, "a.csv", 0), ("A", "two\nlines"): (2.0, None, None, "a.csv", 1), ("B", "y"): (3.0, "S2", "t", "b.csv", 0)}
+
+
+def test_csv_begins_with_a_mark(spark, tmp_path):
+    tables.write_table(spark.range(2).coalesce(1), str(tmp_path / "c"), csv=True)
+    (file,) = (tmp_path / "c").glob("part-*.csv")
+    assert file.read_bytes().startswith("﻿id".encode()) and tables.read_csv(spark, str(tmp_path / "c"), "id long").count() == 2
+
+
 def test_sinks(spark, tmp_path):
     with pytest.raises(ValueError, match="no rows"):
         tables.write_table(spark.range(0), str(tmp_path / "x"))

@@ -53,7 +53,10 @@ def test_pages(spark):
     assert kind("งบการเปลี่ยนแปลงส่วนของผู้ถือหุ้น") == "SE" and kind("หมายเหตุประกอบงบกระแสเงินสด") is None
     assert kind("สินทรัพย์") is None and kind("สินทรัพย์", strict=False) == "BS"
     assert one(spark, tx.page_kind(F.lit("งบกระแสเงินสด"))) is None
-    assert one(spark, similarity.title_kind(F.lit("งบกระแสเงินส"))) == "CF"
+    alike = lambda page: tuple(one(spark, similarity.page_kind_alike(F.lit(page))))
+    assert alike(f"งบกระแสเงินสด\n{table}") == ("CF", "title") and alike("งบกระแสเงินส") == (None, "none")
+    assert alike(f"งบกระแสเงินส\n{table}") == ("CF", "alike 0.94") and alike(f"หมายเหตุประกอบ กำไรต่อหุ้น\n{table}") == (None, "notes")
+    assert alike(f"ข้อความ\n{table}\nกำไรต่อหุ้น") == ("IS", "content") and alike(f"ข้อความ\n{table}") == (None, "none")
 
 
 @pytest.mark.parametrize("given,wanted", [("หน่วย : พันบาท", "thousand"), ("(ล้านบาท)", "million"), ("หมายเหตุ  บาท  บาท", "baht"), ("หุ้นละ 5 บาท หุ้นละ 5 บาท", "unknown"), ("", "unknown")])
@@ -88,7 +91,7 @@ def test_traps_in_order(spark):
 
 def test_spilled_columns_and_sides(spark):
     page = "ยอดรวม\nรวม\n  1,000\n  (2,000)\n  -\n  3,000\n 12"
-    assert one(spark, tokens.spill_values(F.lit(page))) == [1000.0, -2000.0, None, 3000.0]
+    assert one(spark, tokens.spill_values(F.lit(page))) == [1000.0, -2000.0, 3000.0]  # a dash is no value, the page's own number neither
     assert one(spark, tokens.spill_values(F.lit("รวม\n1,000\n2,000"))) is None
     assert one(spark, tokens.spill_values(F.lit("ข้อความ\n1,000\n2,000\n3,000"))) is None
 
@@ -107,7 +110,41 @@ def test_small_text_functions(spark):
     assert one(spark, tx.company_of(F.lit("/scb/xaisx.pdf"), ["SCB", "AIS"])) is None
     assert one(spark, tx.component_label(F.lit("ทุน 1,234 5,678"))) == "ทุน"
     assert one(spark, tx.reattach_year(F.lit("ยอด 2568"), F.lit("ยอด"))) == "ยอด 2568"
-    assert one(spark, tx.normalise_digits(F.lit("1O,l00"))) == "10,100" and one(spark, tx.normalise_digits(F.lit("lOO"))) == "lOO"
+    for given, wanted in [("1O,l00", "10,100"), ("lOO", "lOO"), ("(1,0O)", "(1,00)"), ("(,.)", "(,.)"), ("1กO", "1กO"), ("-1.O", "-1.0")]:
+        assert one(spark, tx.normalise_digits(F.lit(given))) == wanted
+    assert one(spark, tx.component_label(F.lit("หุ้น 5 บาท"))) == "หุ้น 5 บาท" and one(spark, tx.component_label(F.lit(" - 5"))) == "- 5"
+    assert one(spark, tx.reattach_year(F.lit("ยอด 2568 (2567)"), F.lit("ยอด"))) == "ยอด 2568" and one(spark, tx.reattach_year(F.lit("ยอด 12568"), F.lit("ยอด"))) == "ยอด"
     assert one(spark, tx.same(F.lit(None).cast("double"), F.lit(None).cast("double"))) and not one(spark, tx.same(F.lit(1.0), F.lit(None).cast("double")))
     assert one(spark, tx.rounded(F.lit(0.0625), 3)) == 0.062
-    assert one(spark, tx.failure_message(F.lit(1234.5), F.lit(2.0), F.lit("x"))) == "x: 1,234.50 != 2.00"
+    assert one(spark, tx.failure_message(F.lit(1234.5), F.lit(2.0), F.lit("x"))) == "x: 1,234 != 2"
+    assert one(spark, tx.failure_message(F.lit(5.0), F.lit(2000.0), F.lit("x"), F.lit("A"), F.lit("con_cur"))) == "A [con_cur] x: 5 != 2,000"
+
+
+def test_adaptive_places_look_behind_a_parenthesis(spark):
+    """(1,201,527,893) ends nine behind the column with its parenthesis and eight without."""
+    tok = F.array(F.struct(F.lit(0).alias("start"), F.lit(49).alias("end"), F.lit("(1,201,527,893)").alias("tok")))
+    got = one(spark, tokens.adaptive(tok, F.array(F.lit(40), F.lit(80))))
+    assert [(h["idx"], h["value"]) for h in got] == [(0, -1201527893.0)]
+    assert one(spark, tokens.adaptive(tok, F.array(F.lit(39), F.lit(80)))) == []
+
+
+def test_rows_of_wide_tables(spark):
+    line = "ยอด 5".ljust(20) + "1,000".rjust(10) + "-".rjust(10) + "(7)".rjust(10)
+    df = spark.createDataFrame([(line,), ("2567".rjust(30) + "2568".rjust(10) + "2569".rjust(10),), ("14".rjust(30) + "15".rjust(10) + "16".rjust(10),), ("ข้อความ",)], "line string")
+    got = [r["p"] for r in df.withColumn("toks", tokens.tokens("line")).select(tokens.matrix_row("line", "toks", F.array(*map(F.lit, (30, 40, 50)))).alias("p")).collect()]
+    assert (got[0]["label"], got[0]["values"], got[0]["filled"], got[0]["data"]) == ("ยอด 5", [1000.0, None, -7.0], 3, True)
+    assert got[1]["data"] is False and got[2]["data"] is True and got[3] is None  # years are a header, days are not
+
+
+def test_common_characters_lose_no_match(spark):
+    import random
+    from difflib import SequenceMatcher
+
+    rng = random.Random(5)
+    words = list({"".join(rng.choice("กขคงจ") for _ in range(rng.randint(1, 12))) for _ in range(300)})
+    df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("g", similarity.grams("w", 0.8))
+    grams = {r["w"]: set(r["g"]) for r in df.collect()}
+    for a in words:
+        for b in words:
+            if SequenceMatcher(None, a, b).ratio() >= 0.8:
+                assert grams[a] & grams[b]
