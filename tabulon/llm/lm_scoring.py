@@ -81,8 +81,8 @@ class Attention:
         w["b2"] = b2.reshape(CLASSES, MEMBERS) - b2.reshape(CLASSES, MEMBERS).max(-1, keepdims=True)
         return Attention(w, slot, share.astype(F4))
 
-    def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy of the ids y after the ids x (windows by places), and its gradients."""
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
+        """Mean cross-entropy of the ids y after the ids x (windows by places), its gradients, and the ids that those of e, row by row, are for."""
         y, member = self.of[y], self.at[y]
         w, scale = self.w, F4(1 / math.sqrt(WIDTH))
         e = w["e"][x] + w["p"][: x.shape[1]]
@@ -136,15 +136,17 @@ class Attention:
         de = dz + dq @ w["q"].T + dk @ w["k"].T + dv @ w["v"].T
         out["p"] = np.zeros_like(w["p"])
         out["p"][: x.shape[1]] = de.sum(0)
-        out["e"] = np.zeros_like(w["e"])
         by = np.argsort(x.ravel(), kind="stable")
         ids = x.ravel()[by]
         first = np.flatnonzero(np.diff(ids, prepend=-1))
-        out["e"][ids[first]] = np.add.reduceat(flat(de)[by], first)
-        return loss, out
+        out["e"] = np.add.reduceat(flat(de)[by], first)
+        return loss, out, ids[first]
 
     def train(self, lots: Iterator[np.ndarray], passes: int = 1, batch: int = BATCH, rate: float = 0.02, steps: int = 0, seed: int = 6) -> int:
-        """Adam over all windows of each lot (rows of ids, each with the id behind it), in random order; gives how many ids were gone through. The rate falls to 0 over steps, if they are given."""
+        """Adam over all windows of each lot (rows of ids, each with the id behind it), in random order; gives how many ids were gone through. The rate falls to 0 over steps, if they are given.
+
+        An id's embedding and its moments only move in steps that have the id.
+        """
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         s = {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -154,17 +156,21 @@ class Attention:
                 order = rng.permutation(len(lot))
                 for i in range(0, len(order), batch):
                     ids = lot[order[i : i + batch]].astype(np.int64)
-                    _, g = self.gradients(ids[:, :-1], ids[:, 1:])
+                    _, g, rows = self.gradients(ids[:, :-1], ids[:, 1:])
                     t += 1
                     now = rate * min(1.0, t / 20) * (max(0.0, 1 - t / (steps + 1)) ** 0.5 if steps else 1.0)
                     for k, v in g.items():
-                        m[k] *= F4(0.9)
-                        m[k] += F4(0.1) * v
-                        s[k] *= F4(0.99)
-                        s[k] += F4(0.01) * v * v
-                        step = np.sqrt(s[k] * F4(1 / (1 - 0.99**t)))
+                        at = rows if k == "e" else ...
+                        first, second = m[k][at], s[k][at]
+                        first *= F4(0.9)
+                        first += F4(0.1) * v
+                        second *= F4(0.99)
+                        second += F4(0.01) * v * v
+                        step = np.sqrt(second * F4(1 / (1 - 0.99**t)))
                         step += F4(1e-8)
-                        self.w[k] -= F4(now / (1 - 0.9**t)) * m[k] / step
+                        self.w[k][at] -= F4(now / (1 - 0.9**t)) * first / step
+                        if k == "e":
+                            m[k][at], s[k][at] = first, second
             done += lot.shape[0] * (lot.shape[1] - 1)
         return done
 
@@ -368,12 +374,28 @@ def unplaned(x: np.ndarray, kind) -> np.ndarray:
     return np.ascontiguousarray(x.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
-BLOCKS = "block long, bucket int, kind int, data binary"
+BLOCKS = "block long, bucket int, kind int, data binary, words long, ends long"
 DOCS, ASKED, ANSWERED, TOTALS = range(4)
 
 
-def row(block: int, bucket: int, kind: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([kind], pa.int32()), pa.array([data], pa.binary())], names=["block", "bucket", "kind", "data"])
+def row(block: int, bucket: int, kind: int, data: bytes | None, words: int = 0, ends: int = 0) -> pa.RecordBatch:
+    """One row; words and ends are what TOTALS add up."""
+    values = ((block, pa.int64()), (bucket, pa.int32()), (kind, pa.int32()), (data, pa.binary()), (words, pa.int64()), (ends, pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in values], names=["block", "bucket", "kind", "data", "words", "ends"])
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(block, kind, data) of the rows of each key; rows of a key come one after the other."""
+    last, held = None, []
+    for batch in batches:
+        for k, block, kind, data in zip(batch.column(key).to_pylist(), batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("data"), strict=True):
+            if held and k != last:
+                yield held
+                held = []
+            last = k
+            held.append((block, kind, data.as_py()))
+    if held:
+        yield held
 
 
 def spelled(model, file: str, n: int):
@@ -403,7 +425,7 @@ def spelled(model, file: str, n: int):
             for i, j in zip(edges[:-1], edges[1:], strict=True):
                 o = by[i:j]
                 yield row(block, int(bucket[o[0]]), ASKED, pack(words[o], told[o], o.astype(np.uint32)))
-            yield row(block, -1, TOTALS, pack(np.array([int(lengths[~out].sum()), int((~out).sum())])))
+            yield row(block, -1, TOTALS, None, int(lengths[~out].sum()), int((~out).sum()))
             block += 1
             held.clear()
             size = 0
@@ -451,20 +473,16 @@ def spelled(model, file: str, n: int):
 
 
 def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up what a bucket's words count in training documents, and tell every block that asks."""
-    blocks, asked = [], []
-    for batch in batches:
-        blocks += batch.column("block").to_pylist()
-        asked += [unpack(x.as_py()) for x in batch.column("data")]
-    if not blocks:
-        return
-    words, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-    total = np.bincount(inverse, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
-    yield row(-1, -1, TOTALS, pack(np.array([int((total > 0).sum())])))
-    at = 0
-    for block, a in zip(blocks, asked, strict=True):
-        yield row(block, -1, ANSWERED, pack(planes(total[inverse[at : at + len(a[0])]].astype(np.uint64)), planes(a[2])))
-        at += len(a[0])
+    """Add up what a bucket's words count in training documents, and tell every block that asks; bucket by bucket."""
+    for held in runs_of(batches, "bucket"):
+        asked = [unpack(data) for _, _, data in held]
+        words, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([a[1] for a in asked]), minlength=len(words)).astype(np.int64)
+        yield row(-1, -1, TOTALS, None, int((total > 0).sum()))
+        at = 0
+        for (block, _, _), a in zip(held, asked, strict=True):
+            yield row(block, -1, ANSWERED, pack(planes(total[inverse[at : at + len(a[0])]].astype(np.uint64)), planes(a[2])))
+            at += len(a[0])
 
 
 def copied(doc: np.ndarray, place: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -491,16 +509,11 @@ def combined(n_train: int, n_ends: int, n_types: int):
     log_all = math.log10(n_train + n_types + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: dict[int, list] = {}
-        told: dict[int, list] = {}
-        for batch in batches:
-            for block, kind, data in zip(batch.column("block").to_pylist(), batch.column("kind").to_pylist(), batch.column("data"), strict=True):
-                (docs if kind == DOCS else told).setdefault(block, []).append(data.as_py())
-        for block, (data,) in docs.items():
-            ids, out, lengths, place, lp, last, (size,) = unpack(data)
+        for held in runs_of(batches, "block"):  # block by block; the documents come first
+            ids, out, lengths, place, lp, last, (size,) = unpack(held[0][2])
             place, lp = unplaned(place, np.uint32), unplaned(lp, np.uint64)
             count = np.zeros(size, np.int64)
-            for x in told.get(block, ()):
+            for _, _, x in held[1:]:
                 total, at = unpack(x)
                 count[unplaned(at, np.uint32)] = unplaned(total, np.uint64)
             c = count[place].astype(np.float64)
@@ -535,11 +548,11 @@ def score(docs: DataFrame, file: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("held_out").cast("boolean").alias("held_out"), F.col("text").cast("string").alias("text"))
     model = spark.sparkContext.broadcast(trained(rows.filter(~F.col("held_out")).select("doc_id", "text"), file))
     blocks = stored(rows.mapInArrow(tidy(spelled(model, file, 2 * n)), BLOCKS))
-    answers = stored(blocks.filter(F.col("kind") == ASKED).repartition(n, "bucket").mapInArrow(tidy(answer), BLOCKS))
-    totals = [unpack(r["data"])[0] for r in blocks.filter(F.col("kind") == TOTALS).select("data").toLocalIterator()]
-    n_words, n_ends = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
-    types = sum(int(unpack(r["data"])[0][0]) for r in answers.filter(F.col("kind") == TOTALS).select("data").toLocalIterator())
-    parts = blocks.filter(F.col("kind") == DOCS).union(answers.filter(F.col("kind") == ANSWERED)).repartition(n, "block")
+    answers = stored(blocks.filter(F.col("kind") == ASKED).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(tidy(answer), BLOCKS))
+    told = F.col("kind") == TOTALS
+    n_words, n_ends = (x or 0 for x in blocks.filter(told).agg(F.sum("words"), F.sum("ends")).first())
+    types = answers.filter(told).agg(F.sum("words")).first()[0] or 0
+    parts = blocks.filter(F.col("kind") == DOCS).union(answers.filter(F.col("kind") == ANSWERED)).repartition(n, "block").sortWithinPartitions("block", "kind")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return parts.mapInArrow(tidy(combined(n_words + n_ends, n_ends, types + (n_ends > 0))), schema)
 
