@@ -13,16 +13,19 @@ from __future__ import annotations
 
 import functools
 import math
+import pickle
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tabulon.llm.common import cut, tidy
+from tabulon.llm.common import cut, held, tidy
 
 #: Bounds of the labelled sample, for each language: rows, and characters in all.
 SAMPLE_ROWS, SAMPLE_CHARS = 300, 120_000
@@ -234,11 +237,12 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: s
     part. An empty table has no rows.
     """
 
-    # a bounded sample makes bounded tables, which are built once and not in every worker
-    tables = docs.sparkSession.sparkContext.broadcast(Parser(samples))
+    # a bounded sample makes bounded tables, which are built once and not in every worker; workers drop them with the next operator
+    tables = docs.sparkSession.sparkContext.broadcast(zstandard.ZstdCompressor(level=1).compress(pickle.dumps(Parser(samples))))
+    name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = tables.value
+        p = held(("parser", name), lambda: pickle.loads(zstandard.ZstdDecompressor().decompress(tables.value)))
         for whole in batches:
             for batch in cut(whole, at, GROUP):
                 got = p.predict(batch.column(at).to_pylist())
@@ -250,8 +254,8 @@ def identify(docs: DataFrame, samples: tuple[tuple[str, str], ...], id_column: s
 
     at = docs.columns.index(text_column) if beside else 1
     if beside:
-        return docs.mapInArrow(tidy(run, keep=False), StructType([*docs.schema.fields, StructField(beside[0], StringType()), StructField(beside[1], DoubleType())]))
-    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(tidy(run, keep=False), "doc_id long, lang_pred string, score double")
+        return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(beside[0], StringType()), StructField(beside[1], DoubleType())]))
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), text_column).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def remainder(column: str, n: int):

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, free, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
 
-GROUP = 1 << 20
-FLUSH = 1 << 21
+GROUP = 1 << 19
+FLUSH = 1 << 20
 _R = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.int64).view(np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: list[np.ndarray] = []
@@ -355,17 +355,33 @@ def finish(windows: Windows, words: bool, with_text: bool):
                     kept = b" ".join(items) if words else raw
                 removed = int((edges[1::2] - edges[::2]).sum())
                 row = (int(ids[i]) if ids[i] != NULL_ID else None, int(sub[i]), n, removed, len(edges) // 2, hashlib.sha256(kept).hexdigest())
-                out.append((*row, [{"first": int(a), "last": int(b)} for a, b in zip(edges[::2], edges[1::2], strict=True)], kept) if with_text else row)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.binary()]
-            names = ["doc_id", "sub", "n", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
-            m = 8 if with_text else 6
+                spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+                rest = None if not with_text else kept.decode() if words else without(raw, spans)
+                out.append((*row, [{"first": a, "last": b} for a, b in spans], kept, rest) if with_text else row)
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.binary(), pa.string()]
+            names = ["doc_id", "sub", "n", "n_removed", "n_spans", "kept_sha256", "spans", "kept", "rest"]
+            m = 9 if with_text else 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=False)], names=names[:m])
 
     return run
 
 
+def without(raw: bytes, spans: list[tuple[int, int]]) -> str:
+    """UTF-8 text without ranges of its bytes, each narrowed to whole characters."""
+    inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
+    out, at = [], 0
+    for first, last in spans:
+        while inside(first):
+            first += 1
+        while last > first and inside(last):
+            last -= 1
+        out.append(raw[at:first])
+        at = max(last, first)
+    return (b"".join(out) + raw[at:]).decode()
+
+
 def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool, with_text: bool = False, id_column: str = "doc_id", text_column: str = "text", history: tuple[DataFrame, DataFrame, int] | None = None, settled: bool = True) -> DataFrame:
-    """(doc_id, sub, n, n_removed, n_spans, kept_sha256[, spans, kept]) for each row of docs.
+    """(doc_id, sub, n, n_removed, n_spans, kept_sha256[, spans, kept, rest]) for each row of docs.
 
     index(blocks) -> (hashes, docs, positions, repeats, open) for step 2;
     what emit() makes packs the contexts of open anchors, compare decides on them.
@@ -394,5 +410,5 @@ def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool
     compared = stored(contexts.repartition(n, "bucket").mapInArrow(tidy(compare, keep=False), BLOCKS))
     del contexts
     free(docs.sparkSession)
-    schema = "doc_id long, sub int, n long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<struct<first: long, last: long>>, kept binary" * with_text
+    schema = "doc_id long, sub int, n long, n_removed long, n_spans long, kept_sha256 string" + ", spans array<struct<first: long, last: long>>, kept binary, rest string" * with_text
     return beside(found.filter(F.col("kind") == SETTLED).union(compared), texts).mapInArrow(tidy(finish(windows, words, with_text), keep=False), schema)

@@ -168,8 +168,8 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = Fal
     """Remove each word covered by a window of words whose sequence also starts earlier.
 
     Returns (doc_id, sub, n, n_removed, n_spans, kept_sha256) and, if asked,
-    spans (ranges of removed words) and kept (the kept words, joined by single
-    spaces). Words are cut at ASCII white space. Null texts have no words, texts
+    spans (ranges of removed words), kept and rest (the kept words, joined by
+    single spaces, as bytes and as text). Words are cut at ASCII white space. Null texts have no words, texts
     shorter than a window lose none. Of rows with the same doc_id (null ones
     too, which come first) the later in the order of their texts count as later
     documents, with sub above 0. Other columns play no part.

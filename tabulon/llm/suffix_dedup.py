@@ -267,7 +267,8 @@ def suffix_dedup(docs: DataFrame, window: int = WINDOW, with_text: bool = False,
     """Remove each byte covered by a string of `window` bytes that also starts earlier.
 
     Returns (doc_id, sub, n, n_removed, n_spans, kept_sha256) and, if asked,
-    spans (ranges of removed bytes) and kept (the other bytes). Null texts are
+    spans (ranges of removed bytes), kept (the other bytes) and rest (the text
+    without the characters that lie within removed ranges). Null texts are
     empty, texts shorter than a window lose nothing, matches never cross
     documents. Of rows with the same doc_id (null ones too, which come first)
     the later in the order of their texts count as later documents, with sub

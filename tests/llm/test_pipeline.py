@@ -5,6 +5,7 @@ import re
 import pytest
 
 import corpus_pipeline
+from tabulon.llm.repeats import without
 from tabulon.llm.simhash import fingerprint
 
 P = pytest.importorskip("public_tokenizers")
@@ -80,9 +81,7 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_narrowed_to_characters():
-    span = [{"first": 1, "last": 5}]
-    assert corpus_pipeline.without("éaéb", span) == "é" + "b"
-    assert corpus_pipeline.without("abcdefg", span) == "afg" and corpus_pipeline.without(None, None) is None
+    assert without("éaéb".encode(), [(1, 5)]) == "é" + "b" and without(b"abcdefg", [(1, 5)]) == "afg" and without(b"", []) == ""
 
 
 def test_texts_stay_where_no_row_has_a_language(spark):
