@@ -94,31 +94,11 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     their texts and other columns count as later documents. An empty table stays empty.
     """
     docs = ready(docs)
-    changed = suffix_dedup(docs, with_text=True).filter("n_removed > 0").select("doc_id", "sub", "spans")
+    changed = suffix_dedup(docs, with_text=True).filter("n_removed > 0").select("doc_id", "sub", F.col("rest").alias("shorter"))
     rows = common.keyed(slim(docs), "text", "rest")
-    joined = rows.join(changed, rows.doc_id.eqNullSafe(changed.doc_id) & (rows["sub"] == changed["sub"]), "left").select(rows.doc_id, "text", "rest", "spans")
-    shorter = F.udf(without, "string", useArrow=True)
-    same = F.col("spans").isNull()
-    joined = joined.withColumn("text", F.when(same, F.col("text")).otherwise(shorter("text", "spans"))).filter(F.length("text") > 0)
-    return whole(joined, docs, {"n_chars": F.when(same, F.col("rest").getField("n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {})
-
-
-def without(text: str | None, spans: list | None) -> str | None:
-    """text without ranges of its UTF-8 bytes, each narrowed to whole characters."""
-    if text is None or spans is None:
-        return text
-    raw = text.encode()
-    inside = lambda i: i < len(raw) and raw[i] & 0xC0 == 0x80
-    out, at = [], 0
-    for s in spans:
-        first, last = s["first"], s["last"]
-        while inside(first):
-            first += 1
-        while last > first and inside(last):
-            last -= 1
-        out.append(raw[at:first])
-        at = max(last, first)
-    return (b"".join(out) + raw[at:]).decode()
+    same = rows.doc_id.eqNullSafe(changed.doc_id) & (rows["sub"] == changed["sub"])
+    joined = rows.join(changed, same, "left").select(rows.doc_id, F.coalesce("shorter", "text").alias("text"), "rest", F.col("shorter").isNull().alias("same")).filter(F.length("text") > 0)
+    return whole(joined, docs, {"n_chars": F.when(F.col("same"), F.col("rest").getField("n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {})
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
