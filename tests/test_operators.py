@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabulon import catalog
 from tabulon.functions.text import bones
 from tabulon.operators import columns, equations, matching, ocr, pages, quality, rollforward, select, statement
-from tabulon.plans.extract import crosscheck, facts, order_invariant
+from tabulon.plans.extract import crosscheck, equity_cells, facts, order_invariant, truth_template, validate
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -234,3 +234,33 @@ def test_from_pages_to_verdicts(spark):
     assert found["TOTAL_ASSETS"] == (1_000_000.0, "thousand", "BS") and found["INVENTORY"][0] == 350_000.0 and len(found) == 5
     v = {(r["eq_id"], r["col"]): r["verdict"] for r in crosscheck(got).collect()}
     assert all(v[("assets", c)] == "pass" for c in ("con_cur", "con_prev", "sep_cur", "sep_prev"))
+
+
+def test_pages_read_by_ocr(spark):
+    def line(label, *values):
+        return label.ljust(40) + "".join(f"{v:,}".rjust(14) for v in values)
+
+    rows = [("รวมสินทรัพย์", 6000), ("ลูกหนี้การค้า", 2800), ("สินค้าคงเหลือ", 3500), ("รายการอื่น", 1500)]
+    page = lambda title: "\n".join([title, "", *(line(n, v, v + 1, v + 2, v + 3) for n, v in rows)])
+    pages_ = [("A", "a.txt", 1, page("งบฐานะการเงิน\nหน่วย: พันบาท")), ("A", "a.txt", 2, page("งบกำไรขาดทุ")), ("A", "a.txt", 3, page("หมายเหตุประกอบ")), ("B", "b.txt", 1, page("ข้อความ\nหนี้สินและส่วนของเจ้าของ"))]
+    df = spark.createDataFrame(pages_, "company string, source string, page int, text string")
+    alias = spark.createDataFrame([("TOTAL_ASSETS", "รวมสินทรัพย์", 0), ("RECEIVABLE", "ลูกหนี้การค้า", 1), ("INVENTORY", "สินค้าคงเหลือ", 2)], "concept string, alias string, ordinal int")
+    got = facts(df, alias, classifier="ocr")
+    seen = {(r["source"], r["page"]): (r["statement"], r["page_how"], r["unit"]) for r in got.collect()}
+    # units are filled over all companies
+    assert seen == {("a.txt", "1"): ("BS", "title", "thousand"), ("a.txt", "2"): ("IS", "alike 0.88", "thousand"), ("b.txt", "1"): ("BS", "content", "thousand")} and got.count() == 12
+    strict = facts(df, alias, classifier="ocr", strict=True, unit="baht").collect()
+    assert {(r["source"], r["page"], r["unit"]) for r in strict} == {("a.txt", "1", "baht")} and len(strict) == 4
+    bs = facts(df.filter("company = 'A'"), alias, ["BS"])
+    blank = truth_template(bs, alias, per_company=3).collect()
+    assert [(r["company"], r["item"], r["con_cur"], r["_concept_hint"], r["_note"]) for r in blank] == [("A", n, "", c, "") for n, c in (("รวมสินทรัพย์", "TOTAL_ASSETS"), ("ลูกหนี้การค้า", "RECEIVABLE"), ("สินค้าคงเหลือ", "INVENTORY"))]
+    truth = spark.createDataFrame([("f", 0, "A", "รวมสินทรัพย์", 6000.0, 6001.0, None, 6003.0, "subtotal"), ("f", 1, "A", "ลูกหนี้การค้า", 9.0, 2801.0, 2802.0, 2803.0, "normal"), ("f", 2, "A", "ไม่มีในพจนานุกรม", 1.0, None, None, None, None)], "file string, ordinal int, company string, item string, con_cur double, con_prev double, sep_cur double, sep_prev double, trap string")
+    found = validate(truth, bs, alias)
+    assert {(r["concept"], r["col"]): r["status"] for r in found["cells"].collect() if r["status"] != "ok"} == {("TOTAL_ASSETS", "sep_cur"): "extra_value", ("RECEIVABLE", "con_cur"): "wrong"}
+    assert {r["trap"]: (r["n_ok"], r["n"]) for r in found["by_trap"].collect()} == {"subtotal": (3, 4), "normal": (3, 4)}
+    assert found["coverage"].first()["coverage"] == pytest.approx(2 / 3)
+
+
+def test_matrix_of_a_page_without_a_table_is_empty(spark):
+    df = spark.createDataFrame([("A", "a", 1, "งบการเปลี่ยนแปลงส่วนของผู้ถือหุ้น\n" + "1,000 " * 20), ("B", "b", 1, "  ")], "company string, source string, page int, text string")
+    assert equity_cells(df).count() == 0
