@@ -105,7 +105,7 @@ def xxh64_long(x: np.ndarray) -> np.ndarray:
 
 
 def bucket_of(doc: np.ndarray, n: int) -> np.ndarray:
-    """The same number as bucket_column() for each doc_id; null ids are given as the least long."""
+    """A bucket for each doc_id, by Spark's own hash; null ids are given as the least long."""
     return (xxh64_long(doc) >> np.uint64(1)).astype(np.int64) % n
 
 
@@ -166,10 +166,6 @@ def cut(batch: pa.RecordBatch, text: int, size: int = 1 << 21) -> Iterator[pa.Re
 NULL_ID = -(1 << 63)
 
 
-def bucket_column(column: str, n: int):
-    return F.pmod(F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(column), F.lit(NULL_ID).cast("long"))), 1), F.lit(n)).cast("int")
-
-
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed block."""
     head = ";".join(f"{a.dtype.str},{a.size}" for a in arrays).encode()

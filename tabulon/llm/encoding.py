@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 
 from tabulon.llm.common import held, text_bytes
 
-CACHE, GROUP, CALL = 800_000, 1 << 22, 1 << 14
+CACHE, GROUP, CALL = 800_000, 1 << 23, 1 << 14
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍ -  -⁠　﻿]")
 UNUSUAL = re.compile(r"[ \n\t\r]|" + ODD.pattern)
 CHUNK = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
@@ -33,7 +33,7 @@ SUSPECT = np.isin(np.arange(256), [0x0B, 0x0C, *range(0x1C, 0x20), 0xC2, 0xE1, 0
 class Encoder:
     def __init__(self, file: str, cache: int = CACHE):
         # with a small cache, groups of texts are small, too
-        self.cache, self.size = cache, GROUP if cache >= CACHE else GROUP >> 1
+        self.cache, self.size = cache, GROUP if cache >= CACHE else GROUP >> 2
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

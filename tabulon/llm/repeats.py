@@ -30,10 +30,11 @@ from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.common import NULL_ID, bucket_column, bucket_of, free, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
+from tabulon.llm.common import NULL_ID, bucket_of, free, ids_of, keyed, pack, partitions, stored, text_bytes, tidy, unpack
 
 GROUP = 1 << 19
 FLUSH = 1 << 20
@@ -258,6 +259,27 @@ def resolve_anchors(windows: Windows, n: int, index):
     return run
 
 
+def closed(n: int):
+    """Texts as rows beside blocks, each compressed: they are what is shuffled most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            ids = ids_of(batch.column(0))
+            raw = batch.column(2).cast(pa.binary()).fill_null(b"").to_pylist()
+            columns = [pa.array(bucket_of(ids, n), pa.int32()), pa.array(np.full(len(ids), TEXT, np.int32)), pa.array([compress(r) if r else b"" for r in raw], pa.binary()), batch.column(0), batch.column(1), pa.array([len(r) for r in raw], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "block", "doc_id", "sub", "n_bytes"])
+
+    return run
+
+
+_open = zstandard.ZstdDecompressor()
+
+
+def opened(block: bytes) -> bytes:
+    return _open.decompress(block) if block else b""
+
+
 def contexts_of(windows: Windows, n: int, make):
     """Step 3a: the open anchors of each document with their contexts, as make()() packs them by bucket of their k-grams."""
 
@@ -274,14 +296,15 @@ def contexts_of(windows: Windows, n: int, make):
         for batch in texts:
             ids, sub = ids_of(batch.column("doc_id")), batch.column("sub").to_numpy().astype(np.int64)
             lo, hi = ranges(doc, pos, ids, sub)
-            data, offsets = text_bytes(batch.column("text"))
             with_any = np.flatnonzero(hi > lo)
-            for part in np.array_split(with_any, max(1, int((offsets[with_any + 1] - offsets[with_any]).sum()) // GROUP)) if len(with_any) else ():
+            size = np.zeros(len(ids), np.int64)
+            size[with_any] = batch.column("n_bytes").to_numpy()[with_any]
+            for part in np.array_split(with_any, max(1, int(size.sum()) // GROUP)) if len(with_any) else ():
                 rows = np.concatenate([np.arange(lo[i], hi[i]) for i in part])
                 which = np.repeat(np.arange(len(part)), hi[part] - lo[part])
-                cut = [data[offsets[i] : offsets[i + 1]] for i in part]
-                off = np.cumsum([0, *map(len, cut)])
-                yield from emit(np.concatenate(cut), off, which, pos[rows] & ((1 << SUB) - 1), h[rows], doc[rows], pos[rows])
+                raw = [opened(batch.column("block")[i].as_py()) for i in part.tolist()]
+                off = np.cumsum([0, *map(len, raw)])
+                yield from emit(np.frombuffer(b"".join(raw), np.uint8), off, which, pos[rows] & ((1 << SUB) - 1), h[rows], doc[rows], pos[rows])
         if hasattr(emit, "flush"):
             yield from emit.flush()
 
@@ -338,8 +361,8 @@ def finish(windows: Windows, words: bool, with_text: bool):
             ids, sub = ids_of(batch.column("doc_id")), batch.column("sub").to_numpy().astype(np.int64)
             first, last = ranges(doc, pos, ids, sub)
             out = []
-            for i, text in enumerate(batch.column("text")):
-                raw = (text.as_py() or "").encode()
+            for i, block in enumerate(batch.column("block")):
+                raw = opened(block.as_py())
                 items = raw.split() if words else raw
                 n = len(items)
                 if first[i] < last[i]:
@@ -398,10 +421,10 @@ def repeats(docs: DataFrame, windows: Windows, index, emit, compare, words: bool
     free(docs.sparkSession)
 
     def as_texts(df: DataFrame) -> DataFrame:
-        return df.select(bucket_column("doc_id", 4 * n).alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("block"), "doc_id", "sub", "text")
+        return df.select("doc_id", "sub", "text").mapInArrow(tidy(closed(4 * n), keep=False), BLOCKS + ", doc_id long, sub int, n_bytes long")
 
     def beside(blocks_: DataFrame, texts: DataFrame) -> DataFrame:
-        wide = blocks_.select("bucket", "kind", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("sub"), F.lit(None).cast("string").alias("text"))
+        wide = blocks_.select("bucket", "kind", "block", F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("sub"), F.lit(0).cast("long").alias("n_bytes"))
         return texts.union(wide).repartition(n, "bucket").sortWithinPartitions("kind")
 
     texts = as_texts(rows)
