@@ -151,7 +151,7 @@ class Emitter:
         h, doc, pos = (np.concatenate(x) for x in zip(*self.rows, strict=True))
         right, left = self.right, self.left
         self.right, self.left, self.rows = [], [], []
-        bucket = (h >> np.uint64(8)).astype(np.int64) % (4 * self.n)
+        bucket = (h >> np.uint64(8)).astype(np.int64) % self.n
         by_bucket = bucket.tolist()
         rank = np.empty(len(doc), np.int64)
         rank[np.lexsort((pos, doc))] = np.arange(len(doc))
@@ -189,17 +189,20 @@ def comparer(windows: Windows, n: int):
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[bytes]] = {}
+        told: list[list[np.ndarray]] = []
         for batch in batches:
             for bucket, kind, block in zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), batch.column("block"), strict=True):
                 if kind == OPEN:
                     found.setdefault(bucket, []).append(block.as_py())
                 else:
-                    doc, pos, most, least = unpack(block.as_py())
-                    yield blocks(COMPARED, bucket_of(doc, 4 * n), doc, pos, most, least)
+                    told.append(unpack(block.as_py()))
         while found:  # bucket by bucket, since no suffix of one equals one of another
-            yield from one(found.popitem()[1])
+            told.append(one(found.popitem()[1]))
+        if told:  # one block for each bucket of documents
+            doc, pos, most, least = (np.concatenate(x) for x in zip(*told, strict=True))
+            yield blocks(COMPARED, bucket_of(doc, 4 * n), doc, pos, most, least)
 
-    def one(several: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def one(several: list[bytes]) -> list[np.ndarray]:
         parts = [unpack(x) for x in several]
         start = np.cumsum([0, *(len(p[0]) for p in parts)])
         doc, pos = (np.concatenate([p[i] for p in parts]) for i in (7, 8))
@@ -258,7 +261,7 @@ def comparer(windows: Windows, n: int):
             most[hit] = np.maximum(most[hit], o)
             least[hit] = np.minimum(least[hit], o)
         hit = most >= 0
-        yield blocks(COMPARED, bucket_of(doc[hit], 4 * n), doc[hit], pos[hit], most[hit], least[hit])
+        return [doc[hit], pos[hit], most[hit], least[hit]]
 
     return compare
 
