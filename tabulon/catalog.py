@@ -381,7 +381,7 @@ def before_items(spark, sf):
 SELECT event_id, CAST(sum(CASE WHEN d > 43200 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM e"""
 )
 def gap_cluster(spark, sf):
-    df = t(spark, sf, "events").withColumn("s", F.unix_timestamp("ts"))
+    df = t(spark, sf, "events").withColumn("s", F.rint(F.col("ts").cast("timestamp").cast("double")).cast("long"))  # the nearest second, as SQL casts
     return columns.gap_clusters(df, ["user_id"], "s", 43200).select("event_id", "cluster")
 
 

@@ -264,3 +264,14 @@ def test_pages_read_by_ocr(spark):
 def test_matrix_of_a_page_without_a_table_is_empty(spark):
     df = spark.createDataFrame([("A", "a", 1, "งบการเปลี่ยนแปลงส่วนของผู้ถือหุ้น\n" + "1,000 " * 20), ("B", "b", 1, "  ")], "company string, source string, page int, text string")
     assert equity_cells(df).count() == 0
+
+
+def test_gaps_of_parts_of_seconds(spark, tmp_path):
+    """Seconds are the nearest ones, as SQL casts them; rows of one second are in one cluster."""
+    sql = "SELECT * FROM (VALUES (1, 1, TIMESTAMP '2024-01-01 00:00:00.4'), (2, 1, TIMESTAMP '2024-01-01 12:00:00.6'), (3, 2, TIMESTAMP '2024-01-01 00:00:00.6'), (4, 2, TIMESTAMP '2024-01-01 12:00:01.4'), (5, 3, TIMESTAMP '2024-01-01 00:00:00.5'), (6, 3, TIMESTAMP '2024-01-01 12:00:01.2')) v(event_id, user_id, ts)"
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE events AS {sql}")
+    con.execute(f"COPY events TO '{tmp_path}/events.parquet'")
+    got = catalog.QUERIES["gap_cluster"](spark, str(tmp_path)).toPandas()
+    assert rows(got) == rows(con.execute(catalog.ORACLE["gap_cluster"]).df())
+    assert dict(zip(got["event_id"], got["cluster"], strict=True)) == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1}
