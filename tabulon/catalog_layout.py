@@ -533,10 +533,11 @@ def _block(k: Column, year: int, base, more=None) -> list:
     return [*rows, (f"ยอดคงเหลือ ณ วันที่ 31 มีนาคม {year}", last)]
 
 
-def _equity_pages(spark, sf) -> DataFrame:
+def _equity_pages(spark, sf, separate=30_000) -> DataFrame:
+    """Three pages a supplier: notes, and consolidated and separate statements; separate: the base of the latter's first block."""
     k = F.col("s_suppkey")
     con = _equity_page(k, "งบการเงินรวม", _block(k, 2568, 10_000, "ออกหุ้นเพิ่มทุน"), _block(k, 2569, 20_000))
-    sep = _equity_page(k, "งบการเงินเฉพาะกิจการ", _block(k, 2568, 30_000), _block(k, 2569, 40_000))
+    sep = _equity_page(k, "งบการเงินเฉพาะกิจการ", _block(k, 2568, separate), _block(k, 2569, 40_000))
     other = F.lit("หมายเหตุ")
     pg = t(spark, sf, "supplier").select(F.concat(F.lit("S"), k).alias("company"), F.concat(F.lit("s"), k, F.lit(".txt")).alias("source"), F.posexplode(F.array(other, con, sep)).alias("page", "text"))
     return pg.withColumn("page", F.col("page") + 1)
@@ -577,11 +578,12 @@ def equity_rollforward(spark, sf):
 
 @query(f"WITH {CELLS_SQL}, o AS (SELECT DISTINCT company, page FROM cells) SELECT company, CAST(page AS INTEGER) AS page, CASE WHEN page = 3 THEN 0 ELSE 4 END AS n_ok, 4 AS n, page = 3 AS shifted FROM o")
 def equity_truth(spark, sf):
-    """Opening balances against a truth that is right on one page and moved by one column on the other."""
+    """Opening balances against a truth that is right on one page and moved by one column on the other, where no two columns are alike for any key."""
     k = F.col("s_suppkey")
     base = lambda b: [b + k, 2 * b + k, 3 * b - k, 6 * b + k]
-    right, moved = base(10_000), [F.lit(-7), *base(30_000)[:3]]
+    apart = 30_000 + 4 * k  # with a fixed base the second and third column meet at half of it
+    right, moved = base(10_000), [F.lit(-7), *base(apart)[:3]]
     rows = F.array(*(F.struct(F.lit(p).alias("page"), F.lit(i).alias("col_index"), v.cast("double").alias("value")) for p, vs in ((2, right), (3, moved)) for i, v in enumerate(vs)))
     truth = t(spark, sf, "supplier").select(F.concat(F.lit("S"), k).alias("company"), F.explode(rows).alias("x")).select("company", "x.*")
-    got = extract.evaluate_matrix(truth, extract.equity_cells(_equity_pages(spark, sf)))["pages"]
+    got = extract.evaluate_matrix(truth, extract.equity_cells(_equity_pages(spark, sf, apart)))["pages"]
     return got.select("company", "page", F.col("n_ok").cast("int").alias("n_ok"), F.col("n").cast("int").alias("n"), "shifted")

@@ -275,3 +275,10 @@ def test_gaps_of_parts_of_seconds(spark, tmp_path):
     got = catalog.QUERIES["gap_cluster"](spark, str(tmp_path)).toPandas()
     assert rows(got) == rows(con.execute(catalog.ORACLE["gap_cluster"]).df())
     assert dict(zip(got["event_id"], got["cluster"], strict=True)) == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1}
+
+
+def test_moved_truth_is_wrong_at_every_key(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE supplier AS SELECT CAST(unnest([0, 1, 14999, 15000, 15001, 30000, 59999]) AS BIGINT) AS s_suppkey")
+    con.execute(f"COPY supplier TO '{tmp_path}/supplier.parquet'")
+    assert rows(catalog.QUERIES["equity_truth"](spark, str(tmp_path)).toPandas()) == rows(con.execute(catalog.ORACLE["equity_truth"]).df())
