@@ -31,13 +31,17 @@ def find_columns(lines: DataFrame, page: list[str], least: int = 3, gap: float =
 
 
 def column_stats(lines: DataFrame, columns: DataFrame, page: list[str]) -> DataFrame:
-    """(page, columns, comma_shares, short_share): how the tokens at each column look."""
-    cells = lines.select(*page, F.explode("toks").alias("t")).join(columns, page).select(*page, "columns", "t", F.posexplode("columns").alias("i", "c")).filter(F.abs(F.col("t.end") - F.col("c")) <= 3)
+    """(page, columns, comma_shares, short_share): how the tokens at each column look.
+
+    Both sides of the joins have a row for each page, so neither goes through the
+    driver, however small the files that they come from are.
+    """
+    cells = lines.select(*page, F.explode("toks").alias("t")).join(columns.hint("merge"), page).select(*page, "columns", "t", F.posexplode("columns").alias("i", "c")).filter(F.abs(F.col("t.end") - F.col("c")) <= 3)
     tok = F.trim("t.tok")
     short = ~F.contains(tok, F.lit(",")) & (F.length(F.regexp_replace(tok, r"^[()\-]+|[()\-]+$", "")) <= 2)
     per = cells.groupBy(*page, "i").agg(F.avg(F.contains(tok, F.lit(",")).cast("double")).alias("comma"), F.avg(short.cast("double")).alias("short"))
     listed = per.groupBy(*page).agg(F.map_from_entries(F.collect_list(F.struct("i", "comma"))).alias("m"), F.max(F.when(F.col("i") == 0, F.col("short"))).alias("short_share"))
-    out = columns.join(listed, page, "left")
+    out = columns.join(listed.hint("merge"), page, "left")
     return out.select(*page, "columns", F.transform("columns", lambda _, i: F.coalesce(F.col("m")[i], F.lit(0.0))).alias("comma_shares"), F.coalesce("short_share", F.lit(0.0)).alias("short_share"))
 
 

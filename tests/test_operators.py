@@ -282,3 +282,11 @@ def test_moved_truth_is_wrong_at_every_key(spark, tmp_path):
     con.execute("CREATE TABLE supplier AS SELECT CAST(unnest([0, 1, 14999, 15000, 15001, 30000, 59999]) AS BIGINT) AS s_suppkey")
     con.execute(f"COPY supplier TO '{tmp_path}/supplier.parquet'")
     assert rows(catalog.QUERIES["equity_truth"](spark, str(tmp_path)).toPandas()) == rows(con.execute(catalog.ORACLE["equity_truth"]).df())
+
+
+def test_pages_are_never_broadcast_for_column_stats(spark):
+    lines = spark.createDataFrame([(1, [(0, 3, "1,0")]), (2, [(0, 2, "17")])], "page int, toks array<struct<start int, end int, tok string>>")
+    where = spark.createDataFrame([(1, [3]), (2, [2]), (3, [9])], "page int, columns array<int>")
+    got = columns.column_stats(lines, where, ["page"])
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, [3], [1.0], 0.0), (2, [2], [0.0], 1.0), (3, [9], [0.0], 0.0)]
