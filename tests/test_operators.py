@@ -290,3 +290,11 @@ def test_pages_are_never_broadcast_for_column_stats(spark):
     got = columns.column_stats(lines, where, ["page"])
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect())) == [(1, [3], [1.0], 0.0), (2, [2], [0.0], 1.0), (3, [9], [0.0], 0.0)]
+
+
+def test_layout_takes_many_pages_at_once(spark):
+    boxes = [(f"s{p}", p % 3, w, x, y, 10 * len(w), 10, 90.0) for p in range(500) for w, x, y in (("total", 0, 40), ("1,O00", 200, 41), (f"n{p}", 0, 80))]
+    df = spark.createDataFrame(boxes, "source string, page int, text string, x int, y int, w int, h int, conf double").repartition(7)
+    got = ocr.layout(df)
+    assert "FlatMapGroupsInPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == sorted((f"s{p}", p % 3, "total" + " " * 15 + f"1,000\nn{p}") for p in range(500))
