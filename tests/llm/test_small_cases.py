@@ -519,3 +519,10 @@ def test_copied_counts_earlier_words_of_a_text():
     for i in range(len(doc)):
         before = [j for j in range(i) if doc[j] == doc[i]]
         assert (seen[i], earlier[i]) == (len(before), sum(place[j] == place[i] for j in before))
+
+
+def test_neighbours_in_turns(spark):
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 8)))], "vec_id long, embedding array<double>")
+    found = [sorted(map(tuple, neighbours.neighbours(df, F.col("vec_id") % 20 == 0, least=64, curves=4, held=held).collect())) for held in (neighbours.HELD, 1)]
+    assert len(found[0]) == 600 and found[0] == found[1]
