@@ -286,7 +286,7 @@ def test_moved_truth_is_wrong_at_every_key(spark, tmp_path):
 
 def test_pages_are_never_broadcast_for_column_stats(spark):
     lines = spark.createDataFrame([(1, [(0, 3, "1,0")]), (2, [(0, 2, "17")])], "page int, toks array<struct<start int, end int, tok string>>")
-    where = spark.createDataFrame([(1, [3]), (2, [2]), (3, [9])], "page int, columns array<int>")
+    where = spark.range(1, 4).select(F.col("id").cast("int").alias("page"), F.array(F.get(F.array(F.lit(3), F.lit(2), F.lit(9)), F.col("id").cast("int") - 1)).alias("columns"))  # known to be small
     got = columns.column_stats(lines, where, ["page"])
     assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, got.collect())) == [(1, [3], [1.0], 0.0), (2, [2], [0.0], 1.0), (3, [9], [0.0], 0.0)]
