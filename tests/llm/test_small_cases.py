@@ -526,3 +526,77 @@ def test_neighbours_in_turns(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 8)))], "vec_id long, embedding array<double>")
     found = [sorted(map(tuple, neighbours.neighbours(df, F.col("vec_id") % 20 == 0, least=64, curves=4, held=held).collect())) for held in (neighbours.HELD, 1)]
     assert len(found[0]) == 600 and found[0] == found[1]
+
+
+def test_lm_scoring_reads_each_text_once(spark):
+    rows = spark.createDataFrame([(i, f"Some words, {i} of them. " * 20, i % 7 == 2) for i in range(60)], "doc_id long, text string, held_out boolean").repartition(3)
+    read = spark.sparkContext.accumulator(0)
+
+    def told(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    assert lm_scoring.score(rows.mapInArrow(told, rows.schema), P.path("byte_bpe_50k.json")).count() == 60
+    assert read.value == 60
+
+
+def test_attention_works_in_parts():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    m = lm_scoring.Attention.start(9000, rng.integers(0, 50, 9000).astype(float))
+    ids = rng.integers(0, 9000, (256, 49))
+    m.gradients(ids[:, :-1], ids[:, 1:])
+    tracemalloc.start()
+    m.gradients(ids[:, :-1], ids[:, 1:])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # all probabilities of a batch take 65 numbers of 4 bytes for each id; no array of that kind is made, let alone several
+    assert peak < 256 * 48 * 65 * 4 * 2
+
+
+def test_attention_of_large_numbers():
+    rng = np.random.default_rng(0)
+    m = lm_scoring.Attention.start(300, rng.integers(1, 50, 300).astype(float))
+    ids = rng.integers(0, 300, 100)
+    for name, by in (("q", 400), ("u", 300), ("u2", 300)):
+        w = {k: v * by if k == name else v for k, v in m.w.items()}
+        large = lm_scoring.Attention(w, m.slot, m.share)
+        exact = lm_scoring.Attention({k: v.astype(np.float64) for k, v in w.items()}, m.slot, m.share)
+        got = large.score(ids, np.array([0, 100]))
+        want = []
+        for i in range(lm_scoring.WINDOW):
+            x = np.append(299, ids[:i])
+            e = exact.w["e"][x] + exact.w["p"][: i + 1]
+            a = (e[-1] @ exact.w["q"]) @ (e @ exact.w["k"]).T / 4
+            a = np.exp(a - a.max())
+            z = e[-1] + a / a.sum() @ (e @ exact.w["v"]) @ exact.w["o"]
+            soft = lambda t: t - t.max() - np.log(np.exp(t - t.max()).sum())
+            c = m.of[ids[i]]
+            want.append((soft(z @ exact.w["u"] + exact.w["b"])[c] + soft(z @ exact.w["u2"][c] + exact.w["b2"][c])[m.at[ids[i]]]) / np.log(10))
+        assert np.isfinite(got).all() and np.allclose(got[: lm_scoring.WINDOW], want, rtol=1e-2, atol=2e-2)
+        loss, g, _ = large.gradients(np.append(299, ids[:47])[None], ids[:48][None])
+        assert np.isfinite(loss) and all(np.isfinite(v).all() for v in g.values())
+
+
+def test_blocks_hold_the_ids_of_whole_texts(spark):
+    from tabulon.llm.encoding import encoder
+
+    file, lower = P.path("byte_bpe_50k.json"), bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+    texts = [None, "", " ", "a", "  A,b. c!? x... ...", "É, é. 中文, ok! a\x0bb\x0cc\x1cd\x85e\xa0f AB;;;;;;;;;; don't. 9. 9,9, (x), '", "x\t\ny ", *(f"word{i}, word{i % 7}! Und {i}." for i in range(40))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    e = encoder(file)
+    end, got = len(e.bytes) - 1, {}
+    blocks, path = lm_scoring.in_blocks(rows.withColumn("held_out", F.col("doc_id") % 5 == 2), file, 4)
+    import pyarrow as pa
+
+    for r in blocks.filter(F.col("kind") >= lm_scoring.WORDS).collect():
+        ids, lengths, *_ = lm_scoring.opened(bytes(r["data"]))
+        assert all((i % 5 == 2) == (r["kind"] == lm_scoring.WORDS + lm_scoring.ROUNDS) for i in ids)
+        ((stream, bounds),) = lm_scoring.streams_of_blocks(end, iter([pa.RecordBatch.from_arrays([pa.array([bytes(r["data"])])], names=["data"])]))
+        got.update((i, (n, stream[a:b].tolist())) for i, n, a, b in zip(ids.tolist(), lengths.tolist(), bounds, bounds[1:], strict=False))
+    for i, t in enumerate(texts):
+        words = [w.decode() for w in (t or "").encode().translate(lower).split()]
+        want = [x for w in words for x in e.tokenizer.encode(" " + w, add_special_tokens=False).ids]
+        assert got[i] == (len(words), [*want, end])
